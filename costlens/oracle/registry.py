@@ -11,7 +11,7 @@ import functools
 import os
 
 from costlens.oracle import base
-from costlens.oracle import models_cost  # noqa: F401  (fills the registries)
+from costlens.oracle import models_cost, models_warehouse  # noqa: F401  (fill the registries)
 
 DESCRIBE_DIR = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "

@@ -56,3 +56,38 @@ def _tca(p):
 @model("user_cost_summary")
 def _ucs(p):
     return A.user_cost_summary(p["query_cost_attribution"])
+
+
+# -- warehouse analysis -------------------------------------------------------
+from costlens.operators import warehouse as W  # noqa: E402
+
+
+@model("warehouse_utilisation")
+def _util(p):
+    return W.warehouse_utilisation(p["stg_warehouse_load"])
+
+
+@model("idle_warehouse_periods")
+def _idle(p):
+    return W.idle_warehouse_periods(p["warehouse_utilisation"], p["price"], p.opt("split_on_gap", False))
+
+
+@model("warehouse_queue_analysis")
+def _queue(p):
+    return W.warehouse_queue_analysis(p["warehouse_utilisation"])
+
+
+@model("warehouse_schedule_analysis")
+def _sched(p):
+    return W.warehouse_schedule_analysis(p["query_cost_attribution"])
+
+
+@model("warehouse_sizing_analysis")
+def _sizing(p):
+    return W.warehouse_sizing_analysis(p["stg_query_history"], p["warehouse_utilisation"],
+                                       p.opt("approx_percentiles", False))
+
+
+@model("warehouse_auto_suspend")
+def _suspend(p):
+    return W.warehouse_auto_suspend(p["idle_warehouse_periods"], p["price"])
