@@ -91,3 +91,36 @@ def _sizing(p):
 @model("warehouse_auto_suspend")
 def _suspend(p):
     return W.warehouse_auto_suspend(p["idle_warehouse_periods"], p["price"])
+
+
+# -- anti-patterns ------------------------------------------------------------
+from costlens.operators import antipatterns as AP  # noqa: E402
+
+
+@model("query_history_costed")
+def _costed(p):
+    return AP.costed(p["stg_query_history"], p["price"])
+
+
+def _rule(key, rule):
+    @model(key)
+    def build(p):
+        return AP.single_rule(p["query_history_costed"], rule, p.as_of, p.opt("select_star_multiline", False))
+    return build
+
+
+for _key, _rule_name in (("ap_full_table_scan", "FULL_TABLE_SCAN"), ("ap_select_star", "SELECT_STAR"),
+                         ("ap_spill", "SPILL_TO_STORAGE"), ("ap_cartesian_join", "CARTESIAN_JOIN"),
+                         ("ap_large_sort", "LARGE_SORT_NO_LIMIT"), ("ap_long_running", "LONG_RUNNING")):
+    _rule(_key, _rule_name)
+
+
+@model("ap_repeated")
+def _ap_rep(p):
+    return AP.repeated_queries(p["query_patterns"])
+
+
+@model("ap_union")
+def _ap_union(p):
+    return AP.antipattern_union(p["query_history_costed"], p["query_patterns"], p.as_of,
+                                p.opt("select_star_multiline", False))
