@@ -11,7 +11,8 @@ import functools
 import os
 
 from costlens.oracle import base
-from costlens.oracle import models_antipattern, models_cost, models_warehouse  # noqa: F401  (fill the registries)
+from costlens.oracle import (  # noqa: F401  (fill the registries)
+    models_antipattern, models_cost, models_storage_forecast, models_warehouse)
 
 DESCRIBE_DIR = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "

@@ -124,3 +124,60 @@ def _ap_rep(p):
 def _ap_union(p):
     return AP.antipattern_union(p["query_history_costed"], p["query_patterns"], p.as_of,
                                 p.opt("select_star_multiline", False))
+
+
+# -- storage --------------------------------------------------------------------
+from costlens.operators import storage as S  # noqa: E402
+
+
+@model("storage_breakdown")
+def _sb(p):
+    return S.storage_breakdown(p["stg_table_storage"], p["stg_access_history"], p.as_of)
+
+
+for _key, _fn in (("storage_unused_tables", S.storage_unused_tables),
+                  ("storage_time_travel_waste", S.storage_time_travel_waste),
+                  ("storage_transient_candidates", S.storage_transient_candidates),
+                  ("storage_clone_overhead", S.storage_clone_overhead),
+                  ("storage_analysis", S.storage_analysis)):
+    model(_key)(lambda p, _fn=_fn: _fn(p["storage_breakdown"]))
+
+
+@model("storage_recommendations")
+def _srec(p):
+    return S.storage_recommendations(p["storage_unused_tables"], p["storage_time_travel_waste"],
+                                     p["storage_transient_candidates"], p["storage_clone_overhead"])
+
+
+# -- forecasting, seasonality, freshness ------------------------------------------
+from costlens.operators import forecast as FC  # noqa: E402
+
+
+@model("cost_forecast_daily")
+def _cfd(p):
+    return FC.cost_forecast_daily(p.spark, p["daily_cost_rollup"], p.as_of)
+
+
+@model("cost_seasonality_baseline")
+def _csb(p):
+    return FC.cost_seasonality_baseline(p["daily_cost_rollup"], p.as_of)
+
+
+@model("team_cost_forecast")
+def _tcf(p):
+    return FC.team_cost_forecast(p.spark, p["team_cost_attribution"], p.as_of)
+
+
+@model("cost_forecast_monthly")
+def _cfm(p):
+    return FC.cost_forecast_monthly(p["cost_forecast_daily"], p["daily_cost_rollup"], p.as_of)
+
+
+@model("data_freshness_monitor")
+def _dfm(p):
+    return FC.data_freshness_monitor({k: p[k] for _, _, k, _ in FC.FRESHNESS_SOURCES}, p.as_of)
+
+
+@model("data_freshness")
+def _df(p):
+    return FC.data_freshness(p["data_freshness_monitor"])
