@@ -181,3 +181,85 @@ def _dfm(p):
 @model("data_freshness")
 def _df(p):
     return FC.data_freshness(p["data_freshness_monitor"])
+
+
+# -- recommendations ------------------------------------------------------------
+from costlens.operators import recommend as R  # noqa: E402
+
+
+@model("warehouse_recommendations")
+def _whrec(p):
+    return R.warehouse_recommendations(p["warehouse_sizing_analysis"], p["warehouse_auto_suspend"],
+                                       p["warehouse_schedule_analysis"], p["stg_warehouse_metering"],
+                                       p.opt("drop_noop_resize", False))
+
+
+@model("query_optimization_candidates")
+def _qoc(p):
+    return R.query_optimization_candidates(p["ap_union"])
+
+
+@model("antipattern_summary")
+def _aps(p):
+    return R.antipattern_summary(p["ap_union"], p.as_of)
+
+
+@model("all_recommendations")
+def _allrec(p):
+    return R.all_recommendations(p["warehouse_recommendations"], p["query_optimization_candidates"],
+                                 p["storage_recommendations"])
+
+
+@model("recommendation_lifecycle")
+def _lc(p):
+    return R.recommendation_lifecycle(p["all_recommendations"], p.seed("recommendation_actions"),
+                                      p["warehouse_daily_credits"], p.as_of)
+
+
+@model("recommendation_roi")
+def _roi(p):
+    return R.recommendation_roi(p["recommendation_lifecycle"])
+
+
+# -- publication ------------------------------------------------------------------
+from costlens.operators import publish as PB  # noqa: E402
+
+model("cost_summary")(lambda p: PB.cost_summary(p["daily_cost_rollup"]))
+model("cost_trends_daily")(lambda p: PB.cost_trends_daily(p["daily_cost_rollup"]))
+model("cost_by_query_type")(lambda p: PB.cost_by_query_type(p["query_cost_attribution"]))
+model("cost_by_user")(lambda p: PB.cost_by_user(p["user_cost_summary"], p["query_cost_attribution"]))
+model("cost_by_warehouse")(lambda p: PB.cost_by_warehouse(p["warehouse_daily_credits"], p["warehouse_utilisation"],
+                                                          p["query_cost_attribution"]))
+model("warehouse_efficiency")(lambda p: PB.warehouse_efficiency(p["warehouse_utilisation"],
+                                                                p["query_cost_attribution"]))
+model("team_cost_dashboard")(lambda p: PB.team_cost_dashboard(p["team_cost_attribution"]))
+model("weekly_executive_report")(lambda p: PB.weekly_executive_report(
+    p["daily_cost_rollup"], p["cost_by_warehouse"], p["all_recommendations"], p["alert_state_tracker"], p.as_of))
+model("weekly_report_html")(lambda p: PB.weekly_report_html(p["weekly_executive_report"]))
+
+
+# -- alerts ---------------------------------------------------------------------------
+from costlens.operators import alerts as AL  # noqa: E402
+
+model("alert_cost_daily_spike")(lambda p: AL.cost_daily_spike(
+    p.seed("alert_configuration"), p["daily_cost_rollup"], p["cost_seasonality_baseline"], p.as_of))
+model("alert_warehouse_idle")(lambda p: AL.warehouse_idle(
+    p.seed("alert_configuration"), p["idle_warehouse_periods"], p.as_of))
+model("alert_credit_budget")(lambda p: AL.credit_budget(
+    p.seed("alert_configuration"), p["warehouse_daily_credits"], p.seed("monthly_budget"), p.as_of))
+model("alert_query_spill")(lambda p: AL.query_spill(p.seed("alert_configuration"), p["stg_query_history"], p.as_of))
+model("alert_storage_growth")(lambda p: AL.storage_growth(
+    p.seed("alert_configuration"), p["stg_database_storage"], p.as_of))
+model("alert_repeated_expensive")(lambda p: AL.repeated_expensive(
+    p.seed("alert_configuration"), p["query_patterns"], p.as_of))
+model("alert_query_long_running")(lambda p: AL.query_long_running(
+    p.seed("alert_configuration"), p["stg_query_history"], p.as_of))
+ALERT_DETECTORS = ["alert_cost_daily_spike", "alert_warehouse_idle", "alert_credit_budget", "alert_query_spill",
+                   "alert_storage_growth", "alert_repeated_expensive", "alert_query_long_running"]
+model("alert_union")(lambda p: AL.alert_union([p[k] for k in ALERT_DETECTORS], p.seed("alert_suppressions"),
+                                              p.seed("bank_holidays"), p.seed("alert_configuration")))
+model("alert_state_tracker")(lambda p: AL.alert_state_tracker(p["alert_union"], p.opt("alert_previous_state"),
+                                                              p.as_of))
+model("alert_payload")(lambda p: AL.alert_payload(p["alert_state_tracker"], p.seed("alert_configuration")))
+model("alert_history")(lambda p: AL.alert_history(p["alert_state_tracker"], p.seed("alert_configuration"),
+                                                  p["alert_payload"]))

@@ -18,13 +18,7 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def round4(c):
-    """Round half up to 4 places by the same float formula in both engines.
-
-    Values that sit on a half boundary (common here: costs are exact decimal
-    fractions) are nudged by 1e-10 relative first, so last-bit differences of
-    summation order cannot flip them."""
-    return (F.floor((c + F.abs(c) * 1e-10) * 10000 + 0.5) / 10000).cast("double")
+from costlens.functions.exprs import round4  # noqa: E402
 
 
 def finalize(df: DataFrame) -> DataFrame:
