@@ -263,3 +263,51 @@ model("alert_state_tracker")(lambda p: AL.alert_state_tracker(p["alert_union"],
 model("alert_payload")(lambda p: AL.alert_payload(p["alert_state_tracker"], p.seed("alert_configuration")))
 model("alert_history")(lambda p: AL.alert_history(p["alert_state_tracker"], p.seed("alert_configuration"),
                                                   p["alert_payload"]))
+
+
+# -- dashboard queries ------------------------------------------------------------------
+from costlens.operators import dashboard as D  # noqa: E402
+
+_P = D.DEFAULTS
+model("dash_cost_trends")(lambda p: D.cost_trends(p["cost_trends_daily"], p.as_of, p.opt("days", _P["days"])))
+model("dash_top_warehouses")(lambda p: D.top_warehouses(p["cost_by_warehouse"]))
+model("dash_top_users")(lambda p: D.top_users(p["cost_by_user"]))
+model("dash_warehouse_list")(lambda p: D.warehouse_list(p["cost_by_warehouse"]))
+model("dash_daily_credits")(lambda p: D.daily_credits(p["warehouse_daily_credits"], p.as_of, p.opt("days", _P["days"])))
+model("dash_idle_periods")(lambda p: D.idle_periods(p["idle_warehouse_periods"], p.opt("warehouse", _P["warehouse"])))
+model("dash_storage_by_database")(lambda p: D.storage_by_database(p["storage_analysis"]))
+model("dash_anomaly_days")(lambda p: D.anomaly_days(p["cost_trends_daily"]))
+model("dash_cost_heatmap")(lambda p: D.cost_heatmap(p["query_cost_attribution"], p.as_of, p.opt("days", _P["days"])))
+model("dash_freshness")(lambda p: D.freshness(p["data_freshness"]))
+model("dash_freshness_summary")(lambda p: D.freshness_summary(p["data_freshness"]))
+model("dash_team_forecast")(lambda p: D.team_forecast(p["team_cost_forecast"]))
+model("dash_annual_spend")(lambda p: D.annual_spend(p["cost_forecast_monthly"]))
+model("dash_monthly_comparison")(lambda p: D.monthly_comparison(p["cost_trends_daily"]))
+model("dash_latest_month_teams")(lambda p: D.latest_month_teams(p["team_cost_dashboard"]))
+model("dash_weekly_comparison")(lambda p: D.weekly_comparison(p["cost_trends_daily"]))
+model("dash_payload_health")(lambda p: D.payload_health(p["alert_payload"]))
+model("dash_recent_alerts")(lambda p: D.recent_alerts(p["alert_history"]))
+model("dash_alert_trend")(lambda p: D.alert_trend(p["alert_history"]))
+model("dash_savings_by_type")(lambda p: D.savings_by_type(p["warehouse_recommendations"]))
+model("dash_candidate_filter")(lambda p: D.candidate_filter(
+    p["query_optimization_candidates"], p.opt("candidate_types", _P["candidate_types"]),
+    p.opt("candidate_users", _P["candidate_users"]), p.opt("candidate_warehouses", _P["candidate_warehouses"])))
+model("dash_table_lineage")(lambda p: D.table_lineage(p["query_optimization_candidates"], p["stg_table_storage"]))
+model("dash_storage_waste")(lambda p: D.storage_waste(p["storage_recommendations"], p["storage_analysis"]))
+model("dash_savings_breakdown")(lambda p: D.savings_breakdown(p["all_recommendations"]))
+model("dash_recommendation_filter")(lambda p: D.recommendation_filter(
+    p["recommendation_lifecycle"], p.opt("rec_categories", _P["rec_categories"]),
+    p.opt("rec_statuses", _P["rec_statuses"])))
+model("dash_forecast_kpis")(lambda p: D.forecast_kpis(p["cost_forecast_daily"]))
+model("dash_home_kpis")(lambda p: D.home_kpis(p["cost_summary"]))
+model("dash_storage_totals")(lambda p: D.storage_totals(p["storage_analysis"]))
+model("dash_time_travel_waste")(lambda p: D.time_travel_waste(p["storage_analysis"]))
+model("dash_antipattern_totals")(lambda p: D.antipattern_totals(p["antipattern_summary"]))
+model("dash_storage_treemap")(lambda p: D.storage_treemap(p["storage_analysis"]))
+model("dash_roi_kpis")(lambda p: D.roi_kpis(p["recommendation_roi"]))
+model("dash_funnel")(lambda p: D.funnel(p["recommendation_roi"]))
+model("dash_implemented_detail")(lambda p: D.implemented_detail(p["recommendation_roi"]))
+model("dash_team_forecast_filter")(lambda p: D.team_forecast_filter(p["team_cost_forecast"],
+                                                                    p.opt("teams", _P["teams"])))
+model("dash_report_top_list")(lambda p: D.report_top_list(p["weekly_executive_report"]))
+model("dash_unsent_alerts")(lambda p: D.unsent_alerts(p["alert_payload"]))
