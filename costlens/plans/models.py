@@ -311,3 +311,10 @@ model("dash_team_forecast_filter")(lambda p: D.team_forecast_filter(p["team_cost
                                                                     p.opt("teams", _P["teams"])))
 model("dash_report_top_list")(lambda p: D.report_top_list(p["weekly_executive_report"]))
 model("dash_unsent_alerts")(lambda p: D.unsent_alerts(p["alert_payload"]))
+
+
+# -- workload shapes --------------------------------------------------------------------
+from costlens.operators import workload as WL  # noqa: E402
+
+for _key, _fn in WL.WORKLOAD.items():
+    model(_key)(lambda p, _fn=_fn: _fn(p.star()))

@@ -49,7 +49,17 @@ class Pipeline:
     def from_testdata(cls, spark: SparkSession, sf_dir: str, as_of: AsOf | None = None,
                       config: Config | None = None, **kw) -> "Pipeline":
         as_of = as_of or AsOf()
-        return cls(spark, telemetry.derive(spark, sf_dir, as_of), as_of, config, **kw)
+        p = cls(spark, telemetry.derive(spark, sf_dir, as_of), as_of, config, **kw)
+        p.sf_dir = sf_dir
+        return p
+
+    STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+    def star(self) -> dict[str, DataFrame]:
+        """The star-schema tables the workload shapes run on."""
+        if "star" not in self._cache:
+            self._cache["star"] = {t: self.spark.read.parquet(f"{self.sf_dir}/{t}.parquet") for t in self.STAR}
+        return self._cache["star"]
 
     # -- access ---------------------------------------------------------
     def __getitem__(self, name: str) -> DataFrame:
