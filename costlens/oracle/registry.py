@@ -13,7 +13,7 @@ import os
 from costlens.oracle import base
 from costlens.oracle import (  # noqa: F401  (fill the registries)
     models_antipattern, models_cost, models_dashboard, models_publish, models_storage_forecast, models_warehouse,
-    models_workload)
+    models_quality, models_workload)
 
 DESCRIBE_DIR = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "

@@ -318,3 +318,41 @@ from costlens.operators import workload as WL  # noqa: E402
 
 for _key, _fn in WL.WORKLOAD.items():
     model(_key)(lambda p, _fn=_fn: _fn(p.star()))
+
+
+# -- data quality -----------------------------------------------------------------------
+from costlens.operators import quality as Q  # noqa: E402
+
+model("dq_not_null")(lambda p: Q.not_null(p.__getitem__))
+model("dq_unique")(lambda p: Q.unique(p.__getitem__))
+model("dq_accepted_values")(lambda p: Q.accepted_values(p.__getitem__))
+model("dq_relationships")(lambda p: Q.relationships(p.seed("alert_suppressions"), p.seed("alert_configuration"),
+                                                    "alert_id", "alert_id", "alert_suppressions"))
+model("dq_non_negative")(lambda p: Q.non_negative(p.__getitem__))
+model("dq_schema_report")(lambda p: Q.schema_report([p["dq_not_null"], p["dq_unique"], p["dq_accepted_values"],
+                                                     p["dq_relationships"], p["dq_non_negative"]]))
+model("dq_source_freshness")(lambda p: Q.source_freshness(
+    {src: (p[key], col) for src, _, key, col in FC.FRESHNESS_SOURCES}, p.as_of))
+model("dq_pricing_complete")(lambda p: Q.pricing_complete(p.seed("credit_pricing"), p.as_of))
+model("dq_rollup_components")(lambda p: Q.rollup_components(p["daily_cost_rollup"]))
+model("dq_efficiency_range")(lambda p: Q.efficiency_range(p["warehouse_efficiency"]))
+model("dq_forecast_future")(lambda p: Q.forecast_future(p["cost_forecast_daily"], p.as_of))
+model("dq_forecast_positive")(lambda p: Q.forecast_positive(p["cost_forecast_daily"]))
+model("dq_freshness_sources")(lambda p: Q.freshness_sources(p["data_freshness_monitor"]))
+model("dq_no_duplicate_recs")(lambda p: Q.no_duplicate_recs(p["all_recommendations"]))
+model("dq_no_future_dates")(lambda p: Q.no_future_dates(p["stg_query_history"], p.as_of))
+model("dq_seasonality_days")(lambda p: Q.seasonality_days(p["cost_seasonality_baseline"]))
+model("dq_team_sum")(lambda p: Q.team_sum(p["team_cost_attribution"], p["query_cost_attribution"]))
+model("dq_warehouse_metered")(lambda p: Q.warehouse_metered(p["warehouse_recommendations"], p["stg_warehouse_metering"]))
+
+
+# -- account statistics and verification --------------------------------------------------------
+from costlens.operators import account as AC  # noqa: E402
+
+model("scan_query_stats")(lambda p: AC.query_stats(p["stg_query_history"], p.as_of))
+model("scan_metering")(lambda p: AC.metering_totals(p["stg_warehouse_metering"]))
+model("scan_top_tables")(lambda p: AC.top_tables(p["stg_table_storage"]))
+model("verify_tagged_queries")(lambda p: AC.tagged_queries(p["stg_query_history"], p.as_of))
+model("verify_indicators")(lambda p: AC.indicators(p["stg_query_history"], p.as_of))
+model("verify_recent_metering")(lambda p: AC.recent_metering(p["stg_warehouse_metering"], p.as_of))
+model("verify_publication_counts")(lambda p: AC.publication_counts({t: p[t] for t in AC.PUBLICATION_TABLES}))
