@@ -88,3 +88,17 @@ WHERE start_time >= {NOW} - INTERVAL {AC.RECENT_HOURS} HOUR GROUP BY 1""")
 final("verify_publication_counts", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count, "
     f"CASE WHEN COUNT(*) > 0 THEN 'OK' ELSE 'EMPTY' END AS status FROM {t}" for t in AC.PUBLICATION_TABLES))
+
+_FIRST = f"(SELECT * FROM stg_query_history WHERE end_time < {NOW} - INTERVAL 7 DAY)"
+final("incremental_extract", f"""SELECT * FROM stg_query_history
+WHERE end_time > (SELECT MAX(end_time) FROM {_FIRST} f) OR (SELECT MAX(end_time) FROM {_FIRST} f) IS NULL""")
+final("upsert", f"""SELECT * FROM {_FIRST} t
+WHERE query_id NOT IN (SELECT query_id FROM stg_query_history WHERE end_time > (SELECT MAX(end_time) FROM {_FIRST} f))
+UNION ALL
+SELECT * FROM (SELECT * FROM stg_query_history WHERE end_time > (SELECT MAX(end_time) FROM {_FIRST} f)
+               QUALIFY ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY end_time DESC) = 1) u""")
+_SEEDS = {"credit_pricing": 4, "alert_configuration": 13, "alert_suppressions": 6, "bank_holidays": 3,
+          "warehouse_size_credits": 2, "warehouse_team_mapping": 4, "monthly_budget": 4, "recommendation_actions": 6}
+final("seed_load", " UNION ALL ".join(
+    f"SELECT '{s}' AS seed_name, CAST(COUNT(*) AS BIGINT) AS row_count, CAST({n} AS BIGINT) AS column_count FROM seed_{s}"
+    for s, n in _SEEDS.items()))

@@ -356,3 +356,22 @@ model("verify_tagged_queries")(lambda p: AC.tagged_queries(p["stg_query_history"
 model("verify_indicators")(lambda p: AC.indicators(p["stg_query_history"], p.as_of))
 model("verify_recent_metering")(lambda p: AC.recent_metering(p["stg_warehouse_metering"], p.as_of))
 model("verify_publication_counts")(lambda p: AC.publication_counts({t: p[t] for t in AC.PUBLICATION_TABLES}))
+
+
+# -- incremental load (N01, N02) ------------------------------------------------------------
+from pyspark.sql import functions as _F  # noqa: E402
+
+from costlens.streaming import incremental as INC  # noqa: E402
+
+FIRST_LOAD_LAG_DAYS = 7
+
+
+def _first_load(p):
+    """History as a previous run would have loaded it: rows ended a week ago."""
+    return p["stg_query_history"].filter(
+        _F.col("end_time") < p.as_of.ts_col() - _F.expr(f"INTERVAL {FIRST_LOAD_LAG_DAYS} DAYS"))
+
+
+model("incremental_extract")(lambda p: INC.incremental_extract(p["stg_query_history"], _first_load(p)))
+model("upsert")(lambda p: INC.merge(_first_load(p), p["incremental_extract"], ["query_id"],
+                                    [_F.col("end_time").desc(), _F.col("_loaded_at").desc()]))
