@@ -139,3 +139,28 @@ def test_quality_checks_fail_on_bad_rows(spark):
     assert Q.unique(frames, [("daily_cost_rollup", ["date"])]).first().failures == 1
     assert Q.non_negative(frames, {"daily_cost_rollup": ["total_cost"]}).first().failures == 1
     assert Q.rollup_components(bad).count() == 2  # both rows break total = parts
+
+
+def test_episode_stream_matches_batch(spark, tmp_path):
+    """N03: the stateful stream over two micro-batches gives the episodes of
+    the batch tracker run twice with carried state."""
+    from costlens.streaming.episodes import episode_stream
+    now = AsOf("2024-01-31 04:59:00")
+    b1 = [("x", datetime(2024, 1, 30, 23, 0), "r1", 1.0, 0.5, "{}"), ("x", datetime(2024, 1, 30, 12, 0), "r2", 1.0, 0.5, "{}")]
+    b2 = [("x", datetime(2024, 1, 31, 4, 0), "r1", 2.0, 0.5, "{}"), ("x", datetime(2024, 1, 31, 4, 0), "r2", 2.0, 0.5, "{}")]
+    src = str(tmp_path / "alerts")
+    spark.createDataFrame(b1, ALERT_SCHEMA).write.parquet(src + "/b1")
+    stream = episode_stream(spark.readStream.schema(ALERT_SCHEMA).option("recursiveFileLookup", "true").parquet(src), now.datetime)
+    q = (stream.writeStream.outputMode("append").format("memory").queryName("episodes_t")
+         .option("checkpointLocation", str(tmp_path / "ckpt")).start())
+    q.processAllAvailable()
+    spark.createDataFrame(b2, ALERT_SCHEMA).write.parquet(src + "/b2")
+    q.processAllAvailable()
+    q.stop()
+    rows = spark.sql("SELECT resource_key, episode_number, is_new_episode FROM episodes_t "
+                     "WHERE detected_at >= TIMESTAMP_NTZ '2024-01-31 00:00:00'").collect()
+    last = {r.resource_key: (r.episode_number, r.is_new_episode) for r in rows}
+    run1 = AL.alert_state_tracker(spark.createDataFrame(b1, ALERT_SCHEMA), None, now)
+    run2 = {r.resource_key: (r.episode_number, r.is_new_episode)
+            for r in AL.alert_state_tracker(spark.createDataFrame(b2, ALERT_SCHEMA), run1, now).collect()}
+    assert last == run2
