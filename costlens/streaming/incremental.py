@@ -1,7 +1,8 @@
 """Incremental extract (N01) and keyed upsert (N02).
 
 ``upsert`` writes each merged state as a new version directory under a table
-root in the shared checkpoint folder and then moves a small pointer file, so a
+root in the shared checkpoint folder and then renames a small pointer file into
+place (Hadoop FileSystem API, so it works on HDFS and object stores too); a
 reader never sees a half-written table and a failed job leaves the previous
 version intact. ``foreachBatch`` calls the same function for the streaming
 variant.
@@ -44,12 +45,40 @@ def table_root(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "tables", name)
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    ptr = os.path.join(root, POINTER)
-    if not os.path.exists(ptr):
+def _fs(spark: SparkSession, path: str):
+    """Hadoop FileSystem of ``path`` (local disk, HDFS or an object store),
+    so the pointer works wherever the checkpoint folder lives."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
         return None
-    with open(ptr) as f:
-        return spark.read.parquet(os.path.join(root, f.read().strip()))
+    stream = fs.open(p)
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return reader.readLine().strip()
+    finally:
+        reader.close()
+
+
+def _write_pointer(spark: SparkSession, root: str, version: str) -> None:
+    """Write the pointer to a temporary file, then rename it over the old one."""
+    fs, tmp = _fs(spark, os.path.join(root, f".{POINTER}.{version}"))
+    out = fs.create(tmp, True)
+    out.write(bytearray(version.encode("utf-8")))
+    out.close()
+    _, ptr = _fs(spark, os.path.join(root, POINTER))
+    if fs.exists(ptr):
+        fs.delete(ptr, False)
+    fs.rename(tmp, ptr)
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame | None:
+    version = _read_text(spark, os.path.join(root, POINTER))
+    return None if version is None else spark.read.parquet(os.path.join(root, version))
 
 
 def upsert(spark: SparkSession, root: str, updates: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -57,11 +86,7 @@ def upsert(spark: SparkSession, root: str, updates: DataFrame, key: list[str], o
     merged = merge(read_current(spark, root), updates, key, order)
     version = f"v-{uuid.uuid4().hex[:12]}"
     merged.write.mode("overwrite").parquet(os.path.join(root, version))
-    os.makedirs(root, exist_ok=True)
-    tmp = os.path.join(root, f".{POINTER}.{version}")
-    with open(tmp, "w") as f:
-        f.write(version)
-    os.replace(tmp, os.path.join(root, POINTER))
+    _write_pointer(spark, root, version)
     return spark.read.parquet(os.path.join(root, version))
 
 
