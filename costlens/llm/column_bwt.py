@@ -43,7 +43,8 @@ LENGTH, K = 100, 24
 BLOCKS = (LENGTH - K + 1, 16, 1)
 #: Different segments of one anchor that a task holds, and of one collection.
 POOL, COLLECTION = 4096, 8192
-_BATCH = 1 << 24
+#: Bytes whose anchors are sought at once, and of segments that a task holds.
+_BATCH, _HELD = 1 << 21, 1 << 25
 _NULL_ID = (1 << 63) - 1
 _STEP = 0x9E3779B97F4A7C15
 
@@ -55,12 +56,11 @@ def _hashes(x: np.ndarray) -> np.ndarray:
     power = [_STEP]
     for _ in range(4):
         power.append(power[-1] ** 2 % (1 << 64))
-    by_size = {1: x.astype(np.uint64) + np.uint64(1)}
-    for i in range(4):
-        h = by_size[1 << i]
-        by_size[2 << i] = h[: -(1 << i)] * np.uint64(power[i]) + h[1 << i :]
-    n = len(x) - K + 1
-    h = by_size[16][:n] * np.uint64(power[3]) + by_size[8][16 : 16 + n]
+    h = x.astype(np.uint64) + np.uint64(1)
+    for i in range(3):
+        h = h[: -(1 << i)] * np.uint64(power[i]) + h[1 << i :]
+    eight, n = h, len(x) - K + 1  # K is 8 + 8 + 8
+    h = eight[:n] * np.uint64(power[4]) + eight[8 : 8 + n] * np.uint64(power[3]) + eight[16 : 16 + n]
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     return h ^ h >> np.uint64(32)
@@ -193,7 +193,7 @@ def _cut_segments(batches):
                 gone.append((_signed(xxh64_intdigest(segment, here[2] & 0xFFFF)), None, None, *here, here[2] + stop - a))
         if gone:
             yield _batch(_PIECE, gone)
-        if held > 2 * _BATCH:
+        if held > _HELD:
             yield rows()
             first.clear()
             held = 0
