@@ -134,7 +134,7 @@ MET = "kind string, key long, mask int, block int, a long, b long"
 def _met(kind, key=None, mask=None, block=None, a=None, b=None):
     n = len(a)
     full = lambda x, t: pa.array(np.full(n, 0 if x is None else x) if np.ndim(x) == 0 else x, t)
-    return pa.record_batch([pa.array([kind] * n), full(key, pa.int64()), full(mask, pa.int32()), full(block, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["kind", "key", "mask", "block", "a", "b"])
+    return pa.record_batch([pa.array([kind] * n, pa.string()), full(key, pa.int64()), full(mask, pa.int32()), full(block, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["kind", "key", "mask", "block", "a", "b"])
 
 
 def _meet(max_bits: int):
