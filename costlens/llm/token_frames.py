@@ -19,9 +19,11 @@ documents take several frames. Other columns are ignored."""
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 from array import array
+from collections.abc import Iterator
 from itertools import accumulate
 from zlib import crc32
 
@@ -45,7 +47,9 @@ NULL_ID = -(1 << 63)
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 #: Units kept in a worker's memo; at this many it starts anew.
-_MEMO = 1_000_000
+_MEMO = 600_000
+#: Characters whose units are held at once.
+_AT_ONCE = 1 << 20
 _UNSAFE = re.compile(r" \s| $")
 _CUT = re.compile(r" (?=\S)")
 _ENCODERS: dict[str, Encoder] = {}
@@ -58,6 +62,7 @@ class Encoder:
     encoded many in a row, too, and told apart by the ids that begin with a space."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
@@ -90,6 +95,18 @@ class Encoder:
         self._learn(list({u for c in cut_texts if c for u in c[1:] if u not in memo}))
         return [self._ids([t])[0] if c is None else head.get(c[0], b"") + b"".join(map(memo.__getitem__, c[1:])) for t, c in zip(texts, cut_texts, strict=True)]
 
+    def encode_each(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text, a bounded number of characters at once."""
+        held: list[str] = []
+        size = 0
+        for t in texts:
+            held.append(t)
+            size += len(t)
+            if size >= _AT_ONCE:
+                yield from self.encode_all(held)
+                held, size = [], 0
+        yield from self.encode_all(held)
+
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
@@ -171,7 +188,7 @@ def _write(folder: str, vocabulary: str):
     def run(batches):
         task, sink, out = TaskContext.get(), None, None
         for b in batches:
-            for doc_id, ids in zip(b["doc_id"].to_pylist(), encoder(vocabulary).encode_all(b["text"].to_pylist()), strict=True):
+            for doc_id, ids in zip(b["doc_id"].to_pylist(), encoder(vocabulary).encode_each(b["text"].to_pylist()), strict=True):
                 if sink is None:
                     store, root = fs.FileSystem.from_uri(folder)
                     store.create_dir(root, recursive=True)
