@@ -24,7 +24,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 from zlib import crc32
 
 import numpy as np
@@ -47,7 +47,7 @@ NULL_ID = -(1 << 63)
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 #: Units kept in a worker's memo; at this many it starts anew.
-_MEMO = 600_000
+_MEMO = 1_500_000
 #: Characters whose units are held at once.
 _AT_ONCE = 1 << 20
 _UNSAFE = re.compile(r" \s| $")
@@ -84,31 +84,47 @@ class Encoder:
         odd = [u for u in units if " " in u]
         self.memo.update(zip(odd, self._ids([" " + u for u in odd]), strict=True))
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
+    def _units(self, texts: list[str]) -> list[tuple[bytes, list[str]]]:
+        """The ids of each text's first unit, and the other units, which the memo has."""
         if len(self.memo) > _MEMO:
             self.memo.clear()
         memo = self.memo
-        cut_texts = [None if any(s in t for s in self.specials) else _CUT.split(t) if _UNSAFE.search(t) else t.split(" ") for t in texts]
-        heads = list({c[0] for c in cut_texts if c and c[0]})
+        rows = [None if any(s in t for s in self.specials) else _CUT.split(t) if _UNSAFE.search(t) else t.split(" ") for t in texts]
+        heads = list({r[0] for r in rows if r and r[0]})
         head = dict(zip(heads, self._ids(heads), strict=True))
-        self._learn(list({u for c in cut_texts if c for u in c[1:] if u not in memo}))
-        return [self._ids([t])[0] if c is None else head.get(c[0], b"") + b"".join(map(memo.__getitem__, c[1:])) for t, c in zip(texts, cut_texts, strict=True)]
-
-    def encode_each(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text, a bounded number of characters at once."""
+        first = [self._ids([t])[0] if r is None else head.get(r[0], b"") for t, r in zip(texts, rows, strict=True)]
+        for r in rows:
+            if r:
+                del r[0]
+        self._learn([u for u in set(chain.from_iterable(r or () for r in rows)) if u not in memo])
+        return [(f, r or []) for f, r in zip(first, rows, strict=True)]
+
+    @staticmethod
+    def _portions(texts: list[str]) -> Iterator[list[str]]:
         held: list[str] = []
         size = 0
         for t in texts:
             held.append(t)
             size += len(t)
             if size >= _AT_ONCE:
-                yield from self.encode_all(held)
+                yield held
                 held, size = [], 0
-        yield from self.encode_all(held)
+        yield held
+
+    def encode_each(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        for portion in self._portions(texts):
+            for first, rest in self._units(portion):
+                yield first + b"".join(map(self.memo.__getitem__, rest))
+
+    def count_each(self, texts: list[str]) -> Iterator[int]:
+        """The number of ids of each text."""
+        for portion in self._portions(texts):
+            for first, rest in self._units(portion):
+                yield (len(first) + sum(map(len, map(self.memo.__getitem__, rest)))) // 4
 
     def encode(self, text: str) -> bytes:
-        return self.encode_all([text])[0]
+        return next(self.encode_each([text]))
 
 
 def encoder(path: str) -> Encoder:
@@ -120,8 +136,8 @@ def encoder(path: str) -> Encoder:
 class FrameWriter:
     """Writes one file; ``add`` a document's ids at a time, then ``close``."""
 
-    def __init__(self, sink, level: int = 3):
-        self.sink, self.pack = sink, zstandard.ZstdCompressor(level=level, write_checksum=True)
+    def __init__(self, sink, level: int = 1):
+        self.sink, self.pack = sink, zstandard.ZstdCompressor(level=level)
         self.table: list[bytes] = []
         self.ids: list[int] = []
         self.counts: list[int] = []
