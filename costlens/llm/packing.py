@@ -109,7 +109,7 @@ def lengths(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, source, cluster, n_tokens of every row."""
     def run(batches):
         for b in batches:
-            n = [len(x) // 4 + 1 for x in encoder(vocabulary).encode_each(b["text"].to_pylist())]
+            n = [n + 1 for n in encoder(vocabulary).count_each(b["text"].to_pylist())]
             yield pa.record_batch([b["doc_id"], b["source"], b["cluster"], pa.array(n, pa.int64())], names=["doc_id", "source", "cluster", "n_tokens"])
 
     rows = docs.select(
