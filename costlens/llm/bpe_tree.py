@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from costlens.llm.common import text_of
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-_MEMO = 400_000
+_MEMO = 800_000
 _UNSAFE = re.compile(r" \s| $")
 _CUT = re.compile(r" (?=\S)")
 _CODERS: dict[tuple[str, str], Coder] = {}
