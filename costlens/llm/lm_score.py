@@ -97,11 +97,12 @@ def roles(docs: DataFrame, labels: DataFrame) -> DataFrame:
     good = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("good_id")).agg(
         F.min((F.coalesce("quality", F.lit(0)) == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good")).filter("good").select("good_id", F.lit(True).alias("target"))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    sizes = rows.select("doc_id", F.octet_length("text").alias("size")).join(good, F.col("doc_id") == F.col("good_id"), "left")
+    sizes = rows.select("doc_id", F.octet_length("text").alias("size")).join(good.hint("shuffle_hash"), F.col("doc_id") == F.col("good_id"), "left")
     a, b = sizes.agg(F.sum(F.when(F.col("target"), F.col("size")).otherwise(0)), F.sum(F.when(F.col("target"), 0).otherwise(F.col("size")))).first()
     ratio = min(1.0, (a or 0) / b) if b else 0.0
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(ratio * (1 << 30))
-    return rows.join(good, rows["doc_id"] == good["good_id"], "left").select("text", F.coalesce("target", F.lit(False)).alias("target"), drawn.alias("drawn")).filter("target OR drawn").select("text", "target")
+    marked = rows.join(good.hint("shuffle_hash"), rows["doc_id"] == good["good_id"], "left")  # one way at every size
+    return marked.select("text", F.coalesce("target", F.lit(False)).alias("target"), drawn.alias("drawn")).filter("target OR drawn").select("text", "target")
 
 
 def train(docs: DataFrame, labels: DataFrame) -> DataFrame:
