@@ -63,9 +63,13 @@ def spans(text: str, kind: str) -> list[tuple[int, int]]:
 
 def _scan(batches):
     schema = pa.schema([("blob", pa.binary()), ("kind", pa.string()), ("version", pa.int32()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
+    seen = set()  # repeated rows of one document meet in one task
     for b in batches:
         out: list[list] = [[], [], [], [], []]
         for blob, text, due in zip(b["blob"].to_pylist(), b["text"].to_pylist(), b["due"].to_pylist(), strict=True):
+            if blob in seen:
+                continue
+            seen.add(blob)
             for rule in due:
                 found = spans(text, rule["kind"])
                 for column, value in zip(out, (blob, rule["kind"], rule["version"], [s for s, _ in found], [e for _, e in found]), strict=True):
