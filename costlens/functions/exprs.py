@@ -204,18 +204,24 @@ def priority(savings, confidence, effort) -> Column:
     return col(savings) * confidence_weight(confidence) / effort_weight(effort)
 
 
+def floor_double(c) -> Column:
+    """Floor that stays a double: no way through a 64-bit integer for NaN and for
+    values of 2^53 and more, which are whole already."""
+    return F.when(F.abs(c) < float(1 << 53), F.floor(c).cast("double")).otherwise(c.cast("double"))
+
+
 def round4(c) -> Column:
     """Round half up to 4 places by a plain float formula (the same formula is
     used by the oracle, so both engines agree bit for bit). Values sitting on a
     half boundary are nudged by 1e-10 relative first, so last-bit differences
     of summation order cannot flip them."""
     c = col(c)
-    return (F.floor((c + F.abs(c) * 1e-10) * 10000 + 0.5) / 10000).cast("double")
+    return (floor_double((c + F.abs(c) * 1e-10) * 10000 + 0.5) / 10000).cast("double")
 
 
 def round_half_up(c, digits: int) -> Column:
     scale = 10 ** digits
-    return (F.floor(col(c).cast("double") * scale + 0.5) / scale).cast("double")
+    return (floor_double(col(c).cast("double") * scale + 0.5) / scale).cast("double")
 
 
 def fmt1(c) -> Column:

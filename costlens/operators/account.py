@@ -82,12 +82,24 @@ def publication_counts(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def seed_inventory(p) -> DataFrame:
-    """Row and column counts of every config table (the seed load)."""
+    """Row and column counts of every config table (the seed load), and how many rows
+    of the telemetry or of the models built on it find a partner in the table."""
+    used = {
+        "alert_configuration": (p["alert_union"], "alert_id", "alert_id"),
+        "warehouse_size_credits": (p["stg_query_history"].withColumn("size", F.replace(F.upper("warehouse_size"), F.lit("-"), F.lit(""))), "size", "warehouse_size"),
+        "warehouse_team_mapping": (p["stg_warehouse_metering"], "warehouse_name", "warehouse_name"),
+        "recommendation_actions": (p["all_recommendations"], "recommendation_id", "recommendation_id")}
     out = None
     for name in ("credit_pricing", "alert_configuration", "alert_suppressions", "bank_holidays",
                  "warehouse_size_credits", "warehouse_team_mapping", "monthly_budget", "recommendation_actions"):
         df = p.seed(name)
         one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("seed_name"), "row_count", F.lit(len(df.columns)).cast("long").alias("column_count"))
+        if name in used:
+            rows, column, key = used[name]
+            hits = rows.join(df.select(F.col(key).alias("_key")).distinct(), F.col(column) == F.col("_key"), "left_semi")
+            one = one.crossJoin(hits.agg(F.count(F.lit(1)).alias("matched_rows")))
+        else:
+            one = one.withColumn("matched_rows", F.lit(0).cast("long"))
         out = one if out is None else out.unionByName(one)
     return out

@@ -78,10 +78,13 @@ def warehouse_idle(config: DataFrame, idle: DataFrame, as_of: AsOf) -> DataFrame
                 "threshold_value", details)
 
 
-def credit_budget(config: DataFrame, wh_daily: DataFrame, budget: DataFrame, as_of: AsOf) -> DataFrame:
+def credit_budget(config: DataFrame, wh_daily: DataFrame, budget: DataFrame, as_of: AsOf,
+                  team: str | None = None) -> DataFrame:
+    """Month to date against the month's budget: that of ``team``, or of all teams."""
     month = F.trunc(as_of.date_col(), "month")
     mtd = wh_daily.filter(F.col("date") >= month).agg(F.sum("total_credits").alias("mtd_credits"))
-    b = budget.filter(F.col("budget_month") == month).orderBy("team_name").limit(1).select("budget_credits")
+    b = budget.filter((F.col("budget_month") == month) & (F.lit(True) if team is None else F.col("team_name") == team))
+    b = b.agg(F.sum("budget_credits").alias("budget_credits")).filter("budget_credits IS NOT NULL")
     cfg = F.broadcast(config.filter(F.col("alert_id").isin("credit_budget_80pct", "credit_budget_100pct")
                                     & F.col("enabled")).select("alert_id", "threshold_value"))
     pct = F.col("mtd_credits") / F.col("budget_credits") * 100
@@ -169,11 +172,11 @@ def alert_union(detectors: list[DataFrame], suppressions: DataFrame, holidays: D
     h = holidays.select("holiday_date", F.col("description").alias("h_description"))
     c = config.select(F.col("alert_id").alias("c_alert_id"), "suppress_on_holidays")
     day = F.to_date("detected_at")
-    j = (alerts.join(F.broadcast(s), (F.col("alert_id") == F.col("s_alert_id"))
+    j = (alerts.join(s, (F.col("alert_id") == F.col("s_alert_id"))
                      & (F.col("resource_key") == F.col("resource_value"))
                      & day.between(F.col("start_date"), F.col("end_date")), "left")
-         .join(F.broadcast(h), day == F.col("holiday_date"), "left")
-         .join(F.broadcast(c), F.col("alert_id") == F.col("c_alert_id"), "left"))
+         .join(h, day == F.col("holiday_date"), "left")
+         .join(c, F.col("alert_id") == F.col("c_alert_id"), "left"))
     holiday_hit = F.col("holiday_date").isNotNull() & F.coalesce(F.col("suppress_on_holidays"), F.lit(False))
     suppressed = F.when(F.col("s_alert_id").isNotNull(), True).when(holiday_hit, True).otherwise(False)
     reason = (F.when(F.col("s_alert_id").isNotNull(), F.concat(F.lit("Suppression rule: "), F.col("suppression_reason")))

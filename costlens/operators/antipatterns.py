@@ -59,7 +59,7 @@ def num(c, digits: int) -> Column:
     """Number as text with fixed decimals, rounded half up before printing so
     the text is the same in every engine."""
     scale = 10 ** digits
-    r = F.floor(X.col(c).cast("double") * scale + 0.5) / scale
+    r = X.floor_double(X.col(c).cast("double") * scale + 0.5) / scale
     return F.format_string(f"%.{digits}f", r)
 
 
@@ -180,18 +180,23 @@ def repeated_queries(patterns: DataFrame) -> DataFrame:
 
 
 def antipattern_union(costed_qh: DataFrame, patterns: DataFrame, as_of: AsOf, multiline: bool = False) -> DataFrame:
-    """All findings in the shared schema, from one scan of query history."""
-    matched = F.array(*[F.when(pred, F.struct(F.lit(name).alias("t"), sev.alias("s"), rec.alias("r")))
-                        for name, (pred, sev, rec) in rules(as_of, multiline).items()])
-    row_local = (costed_qh
-                 .select("query_id", "user_name", "warehouse_name", "estimated_waste_usd",
-                         F.col("query_text").alias("sample_query_text"), "end_time",
-                         F.filter(matched, lambda m: m.isNotNull()).alias("hits"))
-                 .filter(F.size("hits") > 0)
-                 .select("*", F.explode("hits").alias("hit"))
-                 .select("query_id", "user_name", "warehouse_name", F.col("hit.t").alias("antipattern_type"),
-                         F.col("hit.s").alias("severity"), "estimated_waste_usd",
-                         F.col("hit.r").alias("recommendation"), "sample_query_text", "end_time"))
+    """All findings in the shared schema. The row-local rules share one pass over
+    query history: the names of the rules that hit are exploded, and a finding's
+    severity and text are built only after that, for its own rule."""
+    by_name = rules(as_of, multiline)
+    names = F.array_compact(F.array(*[F.when(pred, F.lit(name)) for name, (pred, _, _) in by_name.items()]))
+    hits = costed_qh.withColumn("antipattern_type", F.explode(names))
+
+    def of_rule(part: int):
+        pick = None
+        for name, parts in by_name.items():
+            hit = F.col("antipattern_type") == name
+            pick = F.when(hit, parts[part]) if pick is None else pick.when(hit, parts[part])
+        return pick
+
+    row_local = hits.select("query_id", "user_name", "warehouse_name", "antipattern_type", of_rule(1).alias("severity"),
+                            "estimated_waste_usd", of_rule(2).alias("recommendation"),
+                            F.col("query_text").alias("sample_query_text"), "end_time")
     rep = repeated_queries(patterns).select(*COMMON).withColumn("end_time", F.col("end_time").cast("timestamp_ntz"))
     text = F.col("sample_query_text")
     return (row_local.unionByName(rep)

@@ -17,13 +17,15 @@ TB = float(1024 ** 4)
 def enterprise_price(credit_pricing: DataFrame, as_of: AsOf, edition: str = "ENTERPRISE") -> DataFrame:
     """One-row frame ``credit_price_usd`` valid at ``as_of`` (empty if none).
 
-    A bounded config table: callers cross join it by broadcast."""
+    One row of one number: callers cross join it by broadcast. Two valid prices
+    are an error."""
     d = as_of.date_col()
     return (credit_pricing
             .filter((F.col("edition") == edition) & d.between(F.col("effective_from"), F.col("effective_to")))
-            .orderBy("effective_from", "credit_price_usd")
-            .select("credit_price_usd")
-            .limit(1))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("credit_price_usd").alias("p")).filter("n > 0")
+            .select(F.when(F.col("n") == 1, F.col("p")).otherwise(
+                F.raise_error(F.lit(f"more than one {edition} price is valid at {as_of.date}")).cast("double"))
+                .alias("credit_price_usd")))
 
 
 def with_price(df: DataFrame, price: DataFrame) -> DataFrame:

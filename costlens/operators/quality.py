@@ -1,9 +1,8 @@
 """Data-quality checks.
 
 Generic checks (not null, unique, accepted values, relationships,
-non-negative) report one row per check with its failure count; each table is
-scanned once for all of its null / range checks (one aggregate, then an
-unpivot). Singular checks return the violating rows, as the assertions do.
+non-negative) report one row per check with its failure count; all null, range and
+value checks of a table are one aggregate over it, then an unpivot. Singular checks return the violating rows, as the assertions do.
 """
 
 from __future__ import annotations
@@ -15,35 +14,89 @@ from pyspark.sql import functions as F
 
 from costlens.functions.exprs import AsOf
 
-# FIXED VALUES: the checks run by the registered quality queries.
-NOT_NULL = {
-    "stg_query_history": ["query_id", "start_time", "end_time", "execution_status"],
-    "query_cost_attribution": ["query_id", "warehouse_name", "estimated_cost_usd"],
-    "daily_cost_rollup": ["date", "total_cost"],
-    "warehouse_daily_credits": ["warehouse_name", "date", "total_credits"],
-    "all_recommendations": ["recommendation_id", "category", "priority_score"],
-    "alert_state_tracker": ["alert_episode_key", "alert_id", "detected_at"],
-    "storage_breakdown": ["database_name", "table_name"],
-}
-UNIQUE = [
-    ("daily_cost_rollup", ["date"]), ("query_cost_attribution", ["query_id"]),
-    ("all_recommendations", ["recommendation_id"]), ("alert_state_tracker", ["alert_episode_key"]),
-    ("warehouse_daily_credits", ["warehouse_name", "date"]), ("cost_summary", ["month"]),
-]
-ACCEPTED = [
-    ("all_recommendations", "category", ["WAREHOUSE", "QUERY", "STORAGE"]),
-    ("all_recommendations", "effort", ["LOW", "MEDIUM", "HIGH"]),
-    ("all_recommendations", "confidence", ["LOW", "MEDIUM", "HIGH"]),
-    ("ap_union", "severity", ["P1", "P2", "P3"]),
-    ("data_freshness_monitor", "freshness_status", ["FRESH", "STALE", "CRITICAL"]),
-    ("recommendation_lifecycle", "status", ["OPEN", "ACCEPTED", "IMPLEMENTED", "REJECTED", "DEFERRED"]),
-]
-NON_NEGATIVE = {
-    "query_cost_attribution": ["estimated_cost_usd", "execution_time_s"],
-    "daily_cost_rollup": ["compute_cost", "storage_cost", "serverless_cost", "total_cost"],
-    "warehouse_daily_credits": ["total_credits", "estimated_cost_usd"],
-    "storage_breakdown": ["estimated_monthly_cost_usd"],
-    "idle_warehouse_periods": ["wasted_cost_usd"],
+# FIXED VALUES: the generic checks. Per table: columns that are never NULL, keys that
+# are unique, columns that are never negative, columns of listed values.
+LEVELS, STATUSES = ["LOW", "MEDIUM", "HIGH"], ["OPEN", "ACCEPTED", "IMPLEMENTED", "REJECTED", "DEFERRED"]
+FRESHNESS = ["FRESH", "STALE", "CRITICAL"]
+CHECKS = {
+    "stg_access_history": {"not_null": ["query_id"]},
+    "stg_clustering": {"not_null": ["start_time"]},
+    "stg_database_storage": {"not_null": ["usage_date", "database_name"]},
+    "stg_login_history": {"not_null": ["event_id"], "unique": ["event_id"]},
+    "stg_mv_refresh": {"not_null": ["start_time"]},
+    "stg_pipe_usage": {"not_null": ["start_time"]},
+    "stg_query_history": {"not_null": ["query_id", "start_time", "end_time"], "unique": ["query_id"]},
+    "stg_search_optimization": {"not_null": ["start_time"]},
+    "stg_serverless_task": {"not_null": ["start_time"]},
+    "stg_sessions": {"not_null": ["session_id"], "unique": ["session_id"]},
+    "stg_storage_usage": {"not_null": ["usage_date"], "unique": ["usage_date"]},
+    "stg_table_storage": {"not_null": ["table_id"]},
+    "stg_warehouse_load": {"not_null": ["warehouse_name", "start_time"]},
+    "stg_warehouse_metering": {"not_null": ["warehouse_name", "start_time"]},
+    "stg_warehouse_role_usage": {"not_null": ["warehouse_name", "role_name", "user_name"]},
+    "query_cost_attribution": {"not_null": ["query_id"], "unique": ["query_id"], "non_negative": ["estimated_cost_usd"]},
+    "query_patterns": {"not_null": ["query_hash", "query_date"]},
+    "warehouse_daily_credits": {"not_null": ["warehouse_name", "date"], "non_negative": ["estimated_cost_usd"]},
+    "serverless_credits": {"not_null": ["service_type", "date"], "non_negative": ["credits_used"]},
+    "daily_cost_rollup": {"not_null": ["date"], "unique": ["date"], "non_negative": ["total_cost"]},
+    "team_cost_attribution": {"not_null": ["team_name", "month"]},
+    "user_cost_summary": {"not_null": ["user_name", "month"], "non_negative": ["total_cost_usd"]},
+    "warehouse_utilisation": {"not_null": ["warehouse_name", "interval_start"]},
+    "idle_warehouse_periods": {"not_null": ["warehouse_name"], "non_negative": ["idle_duration_minutes"]},
+    "warehouse_queue_analysis": {"not_null": ["warehouse_name"]},
+    "warehouse_schedule_analysis": {"not_null": ["warehouse_name"]},
+    "warehouse_sizing_analysis": {"not_null": ["warehouse_name"], "unique": ["warehouse_name"]},
+    "warehouse_auto_suspend": {"not_null": ["warehouse_name"], "unique": ["warehouse_name"], "non_negative": ["potential_savings_usd"]},
+    "ap_full_table_scan": {"not_null": ["query_id"]},
+    "ap_select_star": {"not_null": ["query_id"]},
+    "ap_spill": {"not_null": ["query_id"]},
+    "ap_repeated": {"not_null": ["query_id"]},
+    "ap_cartesian_join": {"not_null": ["query_id"]},
+    "ap_large_sort": {"not_null": ["query_id"]},
+    "ap_long_running": {"not_null": ["query_id"], "accepted": {"antipattern_type": ["LONG_RUNNING"]}},
+    "ap_union": {"not_null": ["antipattern_type"], "accepted": {"severity": ["P1", "P2", "P3"]}},
+    "storage_breakdown": {"not_null": ["database_name", "table_name"]},
+    "storage_clone_overhead": {"not_null": ["table_name"]},
+    "storage_recommendations": {"not_null": ["recommendation_type"]},
+    "storage_time_travel_waste": {"not_null": ["table_name"], "non_negative": ["estimated_savings_usd"]},
+    "storage_transient_candidates": {"not_null": ["table_name"]},
+    "storage_unused_tables": {"not_null": ["table_name"], "non_negative": ["savings_if_dropped_usd"]},
+    "storage_analysis": {"not_null": ["table_name"]},
+    "cost_forecast_daily": {"not_null": ["forecast_date", "predicted_total_cost"], "unique": ["forecast_date"]},
+    "cost_seasonality_baseline": {"not_null": ["date", "adjusted_baseline", "effective_stddev"], "unique": ["date"]},
+    "team_cost_forecast": {"not_null": ["team_name", "forecast_month"]},
+    "cost_forecast_monthly": {"not_null": ["month"], "accepted": {"data_type": ["ACTUAL", "FORECAST"]}},
+    "data_freshness_monitor": {"not_null": ["source_name", "staleness_minutes"], "unique": ["source_name"]},
+    "data_freshness": {"not_null": ["source_name"], "unique": ["source_name"], "accepted": {"freshness_status": FRESHNESS}},
+    "warehouse_recommendations": {"not_null": ["warehouse_name"], "non_negative": ["estimated_monthly_savings_usd", "priority_score"]},
+    "query_optimization_candidates": {"not_null": ["optimization_rank"], "unique": ["optimization_rank"], "non_negative": ["estimated_waste_usd"]},
+    "antipattern_summary": {"not_null": ["antipattern_type"], "unique": ["antipattern_type"]},
+    "all_recommendations": {
+        "not_null": ["recommendation_id", "overall_rank"], "unique": ["recommendation_id", "overall_rank", "stable_id"],
+        "non_negative": ["estimated_monthly_savings_usd"],
+        "accepted": {"category": ["WAREHOUSE", "QUERY", "STORAGE"], "effort": LEVELS, "confidence": LEVELS}},
+    "recommendation_lifecycle": {"not_null": ["recommendation_id"], "unique": ["recommendation_id"], "accepted": {"status": STATUSES}},
+    "recommendation_roi": {"not_null": ["recommendation_id"], "unique": ["recommendation_id"], "accepted": {"status": STATUSES}},
+    "cost_summary": {"not_null": ["month"], "unique": ["month"], "non_negative": ["total_cost"]},
+    "cost_trends_daily": {"not_null": ["date"], "unique": ["date"]},
+    "cost_by_query_type": {"not_null": ["query_type"], "unique": ["query_type"]},
+    "cost_by_user": {"not_null": ["user_name"], "unique": ["user_name"]},
+    "cost_by_warehouse": {"not_null": ["warehouse_name"], "unique": ["warehouse_name"]},
+    "warehouse_efficiency": {"not_null": ["warehouse_name"], "unique": ["warehouse_name"], "non_negative": ["efficiency_score"]},
+    "team_cost_dashboard": {"not_null": ["team_name", "month"]},
+    "weekly_executive_report": {"not_null": ["report_date"]},
+    "alert_cost_daily_spike": {"not_null": ["alert_id"]},
+    "alert_warehouse_idle": {"not_null": ["alert_id"]},
+    "alert_credit_budget": {"not_null": ["alert_id"]},
+    "alert_query_spill": {"not_null": ["alert_id"]},
+    "alert_storage_growth": {"not_null": ["alert_id"]},
+    "alert_repeated_expensive": {"not_null": ["alert_id"]},
+    "alert_query_long_running": {"not_null": ["alert_id"]},
+    "alert_union": {"not_null": ["alert_id", "detected_at"]},
+    "alert_state_tracker": {"not_null": ["alert_episode_key", "alert_id"], "unique": ["alert_episode_key"]},
+    "alert_history": {"not_null": ["alert_episode_key"], "unique": ["alert_episode_key"]},
+    "seed_alert_suppressions": {"not_null": ["alert_id", "resource_value", "suppression_reason", "created_by", "start_date", "end_date"]},
+    "seed_bank_holidays": {"not_null": ["holiday_date", "description", "region"], "unique": ["holiday_date"], "accepted": {"region": ["IN"]}},
 }
 EXPECTED_EDITIONS = ["STANDARD", "ENTERPRISE", "BUSINESS_CRITICAL"]
 FRESHNESS_WARN_HOURS, FRESHNESS_ERROR_HOURS = 24, 48
@@ -51,48 +104,45 @@ FRESHNESS_WARN_HOURS, FRESHNESS_ERROR_HOURS = 24, 48
 CHECK_COLS = ["check_type", "table_name", "column_name", "failures"]
 
 
-def _column_checks(df: DataFrame, table: str, check: str, conds: dict) -> DataFrame:
-    """One aggregate over the table for all its column conditions, unpivoted."""
-    agg = df.agg(*[F.count_if(c).alias(f"c{i}") for i, c in enumerate(conds.values())])
-    names = list(conds)
-    stack = "stack({n}, {pairs}) AS (column_name, failures)".format(
-        n=len(names), pairs=", ".join(f"'{c}', c{i}" for i, c in enumerate(names)))
-    return agg.selectExpr(f"'{check}' AS check_type", f"'{table}' AS table_name", stack)
-
-
-def not_null(frames: Callable[[str], DataFrame], spec=NOT_NULL) -> DataFrame:
-    parts = [_column_checks(frames(t), t, "not_null", {c: F.col(c).isNull() for c in cols}) for t, cols in spec.items()]
-    return _union(parts)
-
-
-def non_negative(frames: Callable[[str], DataFrame], spec=NON_NEGATIVE) -> DataFrame:
-    parts = [_column_checks(frames(t), t, "non_negative", {c: F.col(c) < 0 for c in cols}) for t, cols in spec.items()]
+def column_report(frames: Callable[[str], DataFrame], spec=None) -> DataFrame:
+    """Null, range and value checks: one aggregate per table for all of them,
+    unpivoted."""
+    parts = []
+    for table, checks in (spec or CHECKS).items():
+        conds = {("not_null", c): F.col(c).isNull() for c in checks.get("not_null", ())}
+        conds |= {("non_negative", c): F.col(c) < 0 for c in checks.get("non_negative", ())}
+        conds |= {("accepted_values", c): F.col(c).isNotNull() & ~F.col(c).isin(*v) for c, v in checks.get("accepted", {}).items()}
+        if not conds:
+            continue
+        agg = frames(table).agg(*[F.count_if(x).alias(f"c{i}") for i, x in enumerate(conds.values())])
+        pairs = ", ".join(f"'{kind}', '{c}', c{i}" for i, (kind, c) in enumerate(conds))
+        parts.append(agg.selectExpr(f"'{table}' AS table_name", f"stack({len(conds)}, {pairs}) AS (check_type, column_name, failures)"))
     return _union(parts)
 
 
-def accepted_values(frames: Callable[[str], DataFrame], spec=ACCEPTED) -> DataFrame:
-    parts = [_column_checks(frames(t), t, "accepted_values", {c: F.col(c).isNotNull() & ~F.col(c).isin(*vals)})
-             for t, c, vals in spec]
+def unique(frames: Callable[[str], DataFrame], spec=None) -> DataFrame:
+    """Keys that occur more than once; a NULL key counts as one key."""
+    parts = []
+    for t, checks in (spec or CHECKS).items():
+        for key in checks.get("unique", ()):
+            dup = frames(t).groupBy(key).count().filter(F.col("count") > 1)
+            parts.append(dup.agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit("unique").alias("check_type"), F.lit(t).alias("table_name"), F.lit(key).alias("column_name"), "failures"))
     return _union(parts)
 
 
-def unique(frames: Callable[[str], DataFrame], spec=UNIQUE) -> DataFrame:
+def relationships(links: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """Rows of a child whose value the parent lacks: (table, child, its column,
+    parent, its column)."""
     parts = []
-    for t, keys in spec:
-        dup = frames(t).groupBy(*keys).count().filter(F.col("count") > 1)
-        parts.append(dup.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit("unique").alias("check_type"), F.lit(t).alias("table_name"),
-            F.lit(",".join(keys)).alias("column_name"), "failures"))
+    for table, child, column, parent, key in links:
+        known = parent.select(F.col(key).alias(column)).distinct()
+        orphans = child.filter(F.col(column).isNotNull()).join(known, column, "left_anti")
+        parts.append(orphans.agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit("relationships").alias("check_type"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "failures"))
     return _union(parts)
 
 
-def relationships(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str, table: str) -> DataFrame:
-    orphans = child.join(parent.select(F.col(parent_col).alias(child_col)), child_col, "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit("relationships").alias("check_type"), F.lit(table).alias("table_name"),
-        F.lit(child_col).alias("column_name"), "failures")
-
-
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0].select(CHECK_COLS)
     for p in parts[1:]:
@@ -121,11 +171,12 @@ def source_freshness(sources: dict[str, tuple[DataFrame, str]], as_of: AsOf) ->
                         .when(age > FRESHNESS_WARN_HOURS, "warn").otherwise("pass").alias("status"))
 
 
-def pricing_complete(pricing: DataFrame, as_of: AsOf) -> DataFrame:
-    spark = pricing.sparkSession
-    expected = spark.createDataFrame([(e,) for e in EXPECTED_EDITIONS], "edition string")
-    actual = pricing.filter(F.col("effective_to") >= as_of.date_col()).select("edition").distinct()
-    return expected.join(actual, "edition", "left_anti")
+def pricing_complete(pricing: DataFrame, metering: DataFrame) -> DataFrame:
+    """Editions without a price valid on the first of a month that was metered."""
+    months = metering.select(F.trunc(F.to_date("start_time"), "month").alias("month")).distinct()
+    wanted = months.withColumn("edition", F.explode(F.array(*[F.lit(e) for e in EXPECTED_EDITIONS])))
+    valid = (wanted["edition"] == pricing["edition"]) & F.col("month").between(F.col("effective_from"), F.col("effective_to"))
+    return wanted.join(pricing, valid, "left_anti").select("edition", "month")
 
 
 def rollup_components(rollup: DataFrame) -> DataFrame:

@@ -110,18 +110,20 @@ def antipattern_summary(ap: DataFrame, as_of: AsOf) -> DataFrame:
 
 
 REC_COLS = ["category", "recommendation_type", "target_object", "description", "current_monthly_cost_usd",
-            "estimated_monthly_savings_usd", "effort", "confidence", "action_sql"]
+            "estimated_monthly_savings_usd", "effort", "confidence", "action_sql", "source_id"]
 TIE = ["category", "recommendation_type", "target_object", "description", "action_sql"]
 
 
-def all_recommendations(wh: DataFrame, candidates: DataFrame, storage: DataFrame) -> DataFrame:
+def all_recommendations(wh: DataFrame, candidates: DataFrame, storage: DataFrame, top_queries: int = 50) -> DataFrame:
+    """One ranked list. ``recommendation_id`` is the rank, padded to four digits at
+    least; ``stable_id`` names a recommendation whatever its rank."""
     w = wh.select(F.lit("WAREHOUSE").alias("category"), "recommendation_type",
                   F.col("warehouse_name").alias("target_object"),
                   F.concat(F.col("recommendation_type"), F.lit(": "), F.col("current_state"), F.lit(" -> "),
                            F.col("recommended_state")).alias("description"),
                   F.lit(0.0).alias("current_monthly_cost_usd"), "estimated_monthly_savings_usd", "effort", "confidence",
-                  F.col("sql_to_apply").alias("action_sql"))
-    q = (candidates.filter(F.col("optimization_rank") <= 50)
+                  F.col("sql_to_apply").alias("action_sql"), F.lit(None).cast("string").alias("source_id"))
+    q = (candidates.filter(F.col("optimization_rank") <= top_queries)
          .select(F.lit("QUERY").alias("category"), F.col("antipattern_type").alias("recommendation_type"),
                  F.concat(F.coalesce("warehouse_name", F.lit("N/A")), F.lit("/"),
                           F.coalesce("user_name", F.lit("N/A"))).alias("target_object"),
@@ -130,11 +132,12 @@ def all_recommendations(wh: DataFrame, candidates: DataFrame, storage: DataFrame
                  F.when(F.col("severity") == "P1", "LOW").when(F.col("severity") == "P2", "MEDIUM")
                  .otherwise("HIGH").alias("effort"),
                  F.lit("HIGH").alias("confidence"),
-                 F.concat(F.lit("-- Query optimization: "), F.substring("sample_query_text", 1, 100)).alias("action_sql")))
+                 F.concat(F.lit("-- Query optimization: "), F.substring("sample_query_text", 1, 100)).alias("action_sql"),
+                 F.col("query_id").alias("source_id")))
     s = storage.select(F.lit("STORAGE").alias("category"), "recommendation_type", "target_object", "description",
                        F.col("current_cost_usd").alias("current_monthly_cost_usd"),
                        F.col("savings_if_applied_usd").alias("estimated_monthly_savings_usd"), "effort", "confidence",
-                       "action_sql")
+                       "action_sql", F.lit(None).cast("string").alias("source_id"))
     recs = (w.select(REC_COLS).unionByName(q.select(REC_COLS)).unionByName(s.select(REC_COLS))
             .filter(F.col("estimated_monthly_savings_usd") > 0)
             .withColumn("priority_score", X.priority("estimated_monthly_savings_usd", "confidence", "effort")))
@@ -149,11 +152,12 @@ def all_recommendations(wh: DataFrame, candidates: DataFrame, storage: DataFrame
     ranked = (ranked.join(F.broadcast(firsts), "category")
               .withColumn("category_rank", F.col("_crn") - F.col("_first") + 1).drop("_crn", "_first"))
     return ranked.select(
-        F.concat(F.lit("REC-"), F.lpad(F.col("overall_rank").cast("string"), 4, "0")).alias("recommendation_id"),
+        F.concat(F.lit("REC-"), F.when(F.col("overall_rank") < 1000, F.lpad(F.col("overall_rank").cast("string"), 4, "0"))
+                 .otherwise(F.col("overall_rank").cast("string"))).alias("recommendation_id"),
         "category", "recommendation_type", "target_object", "description", "current_monthly_cost_usd",
         "estimated_monthly_savings_usd", "effort", "confidence", "priority_score", "action_sql",
         F.col("category_rank").cast("long").alias("category_rank"), "overall_rank",
-        F.sha2(F.concat_ws("|", "category", "recommendation_type", "target_object"), 256).substr(1, 16)
+        F.sha2(F.concat_ws("|", "category", "recommendation_type", "target_object", "source_id"), 256)
         .alias("stable_id"))
 
 
@@ -162,7 +166,10 @@ def recommendation_lifecycle(recs: DataFrame, actions: DataFrame, wh_daily: Data
     recent = (wh_daily.filter(F.col("date") >= F.date_sub(today, 30)).groupBy("warehouse_name")
               .agg(F.sum("estimated_cost_usd").alias("last_30d_cost_usd")))
     a = actions.select(*[F.col(c).cast("string").alias(c) for c in actions.columns])
-    j = recs.drop("category_rank", "overall_rank", "stable_id").join(F.broadcast(a), "recommendation_id", "left")
+    key = "stable_id" if "stable_id" in actions.columns else "recommendation_id"  # users' action log: it grows
+    if key == "stable_id":
+        a = a.drop("recommendation_id")
+    j = recs.drop("category_rank", "overall_rank").join(a, key, "left")
     status = F.coalesce("status", F.lit("OPEN"))
     j = j.withColumn("status", status)
     j = j.join(recent, (j["category"] == "WAREHOUSE") & (j["target_object"] == recent["warehouse_name"])

@@ -42,8 +42,20 @@ def _inventory(t: dict) -> DataFrame:
                                 "l_extendedprice")
 
 
+def _shipped(*ranges: tuple[str, str]):
+    """Ship date in one of the half-open ranges; plain comparisons reach the scan."""
+    cond = F.lit(False)
+    for a, b in ranges:
+        cond = cond | ((F.col("l_shipdate") >= F.expr(f"TIMESTAMP_NTZ '{a} 00:00:00'")) & (F.col("l_shipdate") < F.expr(f"TIMESTAMP_NTZ '{b} 00:00:00'")))
+    return cond
+
+
+def _months(year: int, first: int, last: int) -> tuple[str, str]:
+    return f"{year}-{first:02d}-01", f"{year + last // 12}-{last % 12 + 1:02d}-01"
+
+
 def health_scorecard(t: dict) -> DataFrame:
-    inv = _inventory(t).filter(F.year("l_shipdate").isin(*SCORECARD_YEARS))
+    inv = _inventory(t).filter(_shipped(*[(f"{y}-01-01", f"{y + 1}-01-01") for y in SCORECARD_YEARS]))
     j = inv.join(t["supplier"], inv["l_suppkey"] == F.col("s_suppkey")).join(t["part"], inv["l_partkey"] == F.col("p_partkey"))
     g = j.groupBy("s_name", _category().alias("category"), _quarter_name("l_shipdate").alias("quarter_name")).agg(
         F.sum("l_quantity").alias("total_qty"), F.avg("l_quantity").alias("avg_qty"),
@@ -90,7 +102,7 @@ def customer_360(t: dict) -> DataFrame:
 
 
 def month_detail(t: dict) -> DataFrame:
-    inv = t["lineitem"].filter((F.year("l_shipdate") == DETAIL_YEAR) & (F.month("l_shipdate") == DETAIL_MONTH))
+    inv = t["lineitem"].filter(_shipped(_months(DETAIL_YEAR, DETAIL_MONTH, DETAIL_MONTH)))
     return (inv.join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
             .join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey")))
 
@@ -99,8 +111,7 @@ def demand_signals(t: dict, top: int = TOP_SIGNALS) -> DataFrame:
     """Moving averages, volatility, lags and month-start baselines per
     (item, warehouse). Windows are partitioned by the item-warehouse pair, so
     they spread over all tasks; the final top-k is the query's own LIMIT."""
-    inv = _inventory(t).filter((F.year("l_shipdate") == SIGNAL_YEAR)
-                               & F.month("l_shipdate").between(*SIGNAL_MONTHS))
+    inv = _inventory(t).filter(_shipped(_months(SIGNAL_YEAR, *SIGNAL_MONTHS)))
     order = [F.col("l_shipdate"), F.col("l_orderkey"), F.col("l_linenumber")]
     w = Window.partitionBy("l_partkey", "l_suppkey").orderBy(*order)
     wm = Window.partitionBy("l_partkey", "l_suppkey", F.month("l_shipdate")).orderBy(*order)

@@ -48,7 +48,7 @@ for _t, _svc in telemetry.SERVERLESS_SPLIT.items():
             f"FROM serverless_objects WHERE service_type = '{_svc}'")
 # flat form of the access history; the nested form is only needed by staging
 cte("access_history", "SELECT query_id, MIN(query_start_time) AS query_start_time, "
-                      "list({'objectName': object_name}) AS base_objects_accessed "
+                      "list({'objectName': object_name} ORDER BY object_name) AS base_objects_accessed "
                       "FROM access_objects GROUP BY query_id")
 
 RAW_COLUMNS = {

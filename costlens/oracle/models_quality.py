@@ -1,35 +1,32 @@
 """Oracle SQL: data-quality checks, account statistics, verification."""
 
-from costlens.oracle.base import NOW, TODAY, final
+from costlens.oracle.base import FINAL, NOW, TODAY, final
 from costlens.operators import account as AC
 from costlens.operators import quality as Q
 
 
-def _checks(kind, items):
-    return " UNION ALL ".join(
-        f"SELECT '{kind}' AS check_type, '{t}' AS table_name, '{c}' AS column_name, "
-        f"CAST(COUNT(*) FILTER (WHERE {cond}) AS BIGINT) AS failures FROM {t}" for t, c, cond in items)
+def _count(kind: str, table: str, column: str, bad: str) -> str:
+    return (f"SELECT '{kind}' AS check_type, '{table}' AS table_name, '{column}' AS column_name, "
+            f"count(*) FILTER (WHERE {bad}) AS failures FROM {table}")
 
 
-NN = [(t, c, f"{c} IS NULL") for t, cols in Q.NOT_NULL.items() for c in cols]
-NNEG = [(t, c, f"{c} < 0") for t, cols in Q.NON_NEGATIVE.items() for c in cols]
-ACC = [(t, c, f"{c} IS NOT NULL AND {c} NOT IN (" + ", ".join(f"'{v}'" for v in vals) + ")") for t, c, vals in Q.ACCEPTED]
-UNQ = " UNION ALL ".join(
-    f"SELECT 'unique' AS check_type, '{t}' AS table_name, '{','.join(k)}' AS column_name, "
-    f"CAST(COUNT(*) AS BIGINT) AS failures FROM (SELECT {', '.join(k)} FROM {t} GROUP BY {', '.join(k)} "
-    f"HAVING COUNT(*) > 1) d" for t, k in Q.UNIQUE)
-REL = ("SELECT 'relationships' AS check_type, 'alert_suppressions' AS table_name, 'alert_id' AS column_name, "
-       "CAST(COUNT(*) AS BIGINT) AS failures FROM seed_alert_suppressions s "
-       "WHERE NOT EXISTS (SELECT 1 FROM seed_alert_configuration c WHERE c.alert_id = s.alert_id)")
-final("dq_not_null", _checks("not_null", NN))
-final("dq_non_negative", _checks("non_negative", NNEG))
-final("dq_accepted_values", _checks("accepted_values", ACC))
-final("dq_unique", UNQ)
-final("dq_relationships", REL)
-final("dq_schema_report", f"""SELECT *, CASE WHEN check_type = 'relationships' THEN 'warn' ELSE 'error' END AS severity,
-  CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status
-FROM ({_checks('not_null', NN)} UNION ALL {UNQ} UNION ALL {_checks('accepted_values', ACC)} UNION ALL {REL}
-      UNION ALL {_checks('non_negative', NNEG)}) c""")
+_COLUMNS = {"not_null": [], "non_negative": [], "accepted_values": []}
+_KEYS = []
+for _t, _spec in Q.CHECKS.items():
+    _COLUMNS["not_null"] += [_count("not_null", _t, c, f"{c} IS NULL") for c in _spec.get("not_null", ())]
+    _COLUMNS["non_negative"] += [_count("non_negative", _t, c, f"{c} < 0") for c in _spec.get("non_negative", ())]
+    _COLUMNS["accepted_values"] += [_count("accepted_values", _t, c, f"list_position({v}, {c}) IS NULL AND {c} IS NOT NULL") for c, v in _spec.get("accepted", {}).items()]
+    _KEYS += [f"SELECT 'unique' AS check_type, '{_t}' AS table_name, '{c}' AS column_name, count(*) AS failures FROM (SELECT 1 FROM {_t} GROUP BY {c} HAVING count(*) > 1)" for c in _spec.get("unique", ())]
+_LINKS = [_count("relationships", "seed_alert_suppressions", "alert_id", "alert_id NOT IN (SELECT alert_id FROM seed_alert_configuration)").replace("'seed_alert_suppressions' AS", "'alert_suppressions' AS"),
+          _count("relationships", "alert_union", "alert_id", "alert_id NOT IN (SELECT alert_id FROM seed_alert_configuration)"),
+          _count("relationships", "stg_warehouse_metering", "warehouse_name", "warehouse_name NOT IN (SELECT warehouse_name FROM seed_warehouse_team_mapping)")]
+for _kind, _parts in _COLUMNS.items():
+    final(f"dq_{_kind}", " UNION ALL ".join(_parts))
+final("dq_unique", " UNION ALL ".join(_KEYS))
+final("dq_relationships", " UNION ALL ".join(_LINKS))
+final("dq_schema_report", f"""SELECT *, CASE check_type WHEN 'relationships' THEN 'warn' ELSE 'error' END AS severity,
+  CASE failures WHEN 0 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM ({' UNION ALL '.join([x for v in _COLUMNS.values() for x in v] + _KEYS + _LINKS)})""")
 _age = f"date_diff('microsecond', latest, {NOW}) / 3600000000.0"
 final("dq_source_freshness", f"""SELECT source_name, latest, {_age} AS age_hours,
   CASE WHEN latest IS NULL OR {_age} > {Q.FRESHNESS_ERROR_HOURS} THEN 'error' WHEN {_age} > {Q.FRESHNESS_WARN_HOURS} THEN 'warn'
@@ -40,9 +37,9 @@ FROM (SELECT 'query_history' AS source_name, MAX(end_time) AS latest FROM stg_qu
       UNION ALL SELECT 'warehouse_load_history', MAX(start_time) FROM stg_warehouse_load
       UNION ALL SELECT 'login_history', MAX(event_timestamp) FROM stg_login_history
       UNION ALL SELECT 'database_storage_usage_history', CAST(MAX(usage_date) AS TIMESTAMP) FROM stg_database_storage) s""")
-final("dq_pricing_complete", f"""SELECT e.edition FROM (VALUES ('STANDARD'), ('ENTERPRISE'), ('BUSINESS_CRITICAL')) e(edition)
-LEFT JOIN (SELECT DISTINCT edition FROM seed_credit_pricing WHERE effective_to >= {TODAY}) a ON e.edition = a.edition
-WHERE a.edition IS NULL""")
+final("dq_pricing_complete", """SELECT edition, month
+FROM (SELECT unnest(['STANDARD', 'ENTERPRISE', 'BUSINESS_CRITICAL']) AS edition), (SELECT DISTINCT CAST(date_trunc('month', start_time) AS DATE) AS month FROM stg_warehouse_metering)
+WHERE NOT EXISTS (FROM seed_credit_pricing p WHERE p.edition = edition AND month BETWEEN effective_from AND effective_to)""".replace("p.edition = edition", "p.edition = e.edition").replace("AS edition), (SELECT", "AS edition) e, (SELECT"))
 final("dq_rollup_components", "SELECT date, total_cost, compute_cost, storage_cost, serverless_cost FROM daily_cost_rollup "
                               "WHERE ABS(total_cost - (compute_cost + storage_cost + serverless_cost)) > 0.01")
 final("dq_efficiency_range", "SELECT * FROM warehouse_efficiency WHERE efficiency_score < 0 OR efficiency_score > 100")
@@ -84,7 +81,7 @@ final("verify_indicators", f"""SELECT COUNT(*) FILTER (WHERE starts_with(UPPER(T
   COUNT(*) FILTER (WHERE partitions_scanned > partitions_total * 0.8) AS full_scan_queries, COUNT(*) AS total_queries
 FROM stg_query_history WHERE query_tag LIKE '%scenario:%' AND start_time >= {NOW} - INTERVAL {AC.INDICATOR_DAYS} DAY""")
 final("verify_recent_metering", f"""SELECT warehouse_name, SUM(credits_used) AS credits_used FROM stg_warehouse_metering
-WHERE start_time >= {NOW} - INTERVAL {AC.RECENT_HOURS} HOUR GROUP BY 1""")
+WHERE start_time >= {NOW} - INTERVAL 6 HOUR GROUP BY 1""")
 final("verify_publication_counts", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count, "
     f"CASE WHEN COUNT(*) > 0 THEN 'OK' ELSE 'EMPTY' END AS status FROM {t}" for t in AC.PUBLICATION_TABLES))
@@ -99,6 +96,12 @@ SELECT * FROM (SELECT * FROM stg_query_history WHERE end_time > (SELECT MAX(end_
                QUALIFY ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY end_time DESC) = 1) u""")
 _SEEDS = {"credit_pricing": 4, "alert_configuration": 13, "alert_suppressions": 6, "bank_holidays": 3,
           "warehouse_size_credits": 2, "warehouse_team_mapping": 4, "monthly_budget": 4, "recommendation_actions": 6}
+_USED = {
+    "alert_configuration": "FROM alert_union WHERE alert_id IN (SELECT alert_id FROM seed_alert_configuration)",
+    "warehouse_size_credits": "FROM stg_query_history WHERE replace(upper(warehouse_size), '-', '') IN (SELECT warehouse_size FROM seed_warehouse_size_credits)",
+    "warehouse_team_mapping": "FROM stg_warehouse_metering WHERE warehouse_name IN (SELECT warehouse_name FROM seed_warehouse_team_mapping)",
+    "recommendation_actions": "FROM all_recommendations WHERE recommendation_id IN (SELECT recommendation_id FROM seed_recommendation_actions)"}
 final("seed_load", " UNION ALL ".join(
-    f"SELECT '{s}' AS seed_name, CAST(COUNT(*) AS BIGINT) AS row_count, CAST({n} AS BIGINT) AS column_count FROM seed_{s}"
-    for s, n in _SEEDS.items()))
+    f"SELECT '{s}' AS seed_name, (SELECT count(*) FROM seed_{s}) AS row_count, {n} AS column_count, "
+    + (f"(SELECT count(*) {_USED[s]})" if s in _USED else "0") + " AS matched_rows" for s, n in _SEEDS.items()))
+final("upsert_versions", FINAL["upsert"])

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import uuid as _uuid
+
+from pyspark.sql import functions as _F
+
+from costlens.streaming import incremental as INC
 from costlens.operators import attribution as A
 from costlens.plans.pipeline import model
 
@@ -196,7 +201,7 @@ def _whrec(p):
 
 @model("query_optimization_candidates")
 def _qoc(p):
-    return R.query_optimization_candidates(p["ap_union"])
+    return R.query_optimization_candidates(p["ap_union"], p.opt("top_candidates", 100))
 
 
 @model("antipattern_summary")
@@ -234,7 +239,8 @@ model("warehouse_efficiency")(lambda p: PB.warehouse_efficiency(p["warehouse_uti
                                                                 p["query_cost_attribution"]))
 model("team_cost_dashboard")(lambda p: PB.team_cost_dashboard(p["team_cost_attribution"]))
 model("weekly_executive_report")(lambda p: PB.weekly_executive_report(
-    p["daily_cost_rollup"], p["cost_by_warehouse"], p["all_recommendations"], p["alert_state_tracker"], p.as_of))
+    p.checked("daily_cost_rollup"), p.checked("cost_by_warehouse"), p.checked("all_recommendations"),
+    p.checked("alert_state_tracker"), p.as_of))
 model("weekly_report_html")(lambda p: PB.weekly_report_html(p["weekly_executive_report"]))
 
 
@@ -260,6 +266,18 @@ model("alert_union")(lambda p: AL.alert_union([p[k] for k in ALERT_DETECTORS], p
                                               p.seed("bank_holidays"), p.seed("alert_configuration")))
 model("alert_state_tracker")(lambda p: AL.alert_state_tracker(p["alert_union"], p.opt("alert_previous_state"),
                                                               p.as_of))
+@model("alert_state_earlier")
+def _earlier(p):
+    """What a run two hours before this one would have stored: no earlier state, and
+    only the alerts detected by then."""
+    then = _F.expr(p.as_of.ts_sql()) - _F.expr("INTERVAL 2 HOURS")
+    known = p["alert_union"].filter((_F.col("detected_at") < then) & _F.col("resource_key").isNotNull())
+    return AL.alert_state_tracker(known, None, p.as_of).withColumn("evaluated_at", then)
+
+
+model("alert_state_carried")(lambda p: AL.alert_state_tracker(p["alert_union"], p["alert_state_earlier"], p.as_of))
+model("alert_history_carried")(lambda p: INC.merge(p["alert_state_earlier"], p["alert_state_carried"], ["alert_episode_key"], AL.latest_order())
+                               .select("alert_episode_key", "alert_id", "detected_at", "resource_key", "episode_number", "is_new_episode", "is_continuation", "evaluated_at"))
 model("alert_payload")(lambda p: AL.alert_payload(p["alert_state_tracker"], p.seed("alert_configuration")))
 model("alert_history")(lambda p: AL.alert_history(p["alert_state_tracker"], p.seed("alert_configuration"),
                                                   p["alert_payload"]))
@@ -323,17 +341,18 @@ for _key, _fn in WL.WORKLOAD.items():
 # -- data quality -----------------------------------------------------------------------
 from costlens.operators import quality as Q  # noqa: E402
 
-model("dq_not_null")(lambda p: Q.not_null(p.__getitem__))
-model("dq_unique")(lambda p: Q.unique(p.__getitem__))
-model("dq_accepted_values")(lambda p: Q.accepted_values(p.__getitem__))
-model("dq_relationships")(lambda p: Q.relationships(p.seed("alert_suppressions"), p.seed("alert_configuration"),
-                                                    "alert_id", "alert_id", "alert_suppressions"))
-model("dq_non_negative")(lambda p: Q.non_negative(p.__getitem__))
-model("dq_schema_report")(lambda p: Q.schema_report([p["dq_not_null"], p["dq_unique"], p["dq_accepted_values"],
-                                                     p["dq_relationships"], p["dq_non_negative"]]))
+model("dq_columns")(lambda p: Q.column_report(p.checked))
+for _kind in ("not_null", "accepted_values", "non_negative"):
+    model(f"dq_{_kind}")(lambda p, kind=_kind: p["dq_columns"].filter(_F.col("check_type") == kind))
+model("dq_unique")(lambda p: Q.unique(p.checked))
+model("dq_relationships")(lambda p: Q.relationships([
+    ("alert_suppressions", p.seed("alert_suppressions"), "alert_id", p.seed("alert_configuration"), "alert_id"),
+    ("alert_union", p.checked("alert_union"), "alert_id", p.seed("alert_configuration"), "alert_id"),
+    ("stg_warehouse_metering", p.checked("stg_warehouse_metering"), "warehouse_name", p.seed("warehouse_team_mapping"), "warehouse_name")]))
+model("dq_schema_report")(lambda p: Q.schema_report([p["dq_columns"], p["dq_unique"], p["dq_relationships"]]))
 model("dq_source_freshness")(lambda p: Q.source_freshness(
     {src: (p[key], col) for src, _, key, col in FC.FRESHNESS_SOURCES}, p.as_of))
-model("dq_pricing_complete")(lambda p: Q.pricing_complete(p.seed("credit_pricing"), p.as_of))
+model("dq_pricing_complete")(lambda p: Q.pricing_complete(p.seed("credit_pricing"), p["stg_warehouse_metering"]))
 model("dq_rollup_components")(lambda p: Q.rollup_components(p["daily_cost_rollup"]))
 model("dq_efficiency_range")(lambda p: Q.efficiency_range(p["warehouse_efficiency"]))
 model("dq_forecast_future")(lambda p: Q.forecast_future(p["cost_forecast_daily"], p.as_of))
@@ -354,14 +373,11 @@ model("scan_metering")(lambda p: AC.metering_totals(p["stg_warehouse_metering"])
 model("scan_top_tables")(lambda p: AC.top_tables(p["stg_table_storage"]))
 model("verify_tagged_queries")(lambda p: AC.tagged_queries(p["stg_query_history"], p.as_of))
 model("verify_indicators")(lambda p: AC.indicators(p["stg_query_history"], p.as_of))
-model("verify_recent_metering")(lambda p: AC.recent_metering(p["stg_warehouse_metering"], p.as_of))
-model("verify_publication_counts")(lambda p: AC.publication_counts({t: p[t] for t in AC.PUBLICATION_TABLES}))
+model("verify_recent_metering")(lambda p: AC.recent_metering(p["stg_warehouse_metering"], p.as_of, p.opt("recent_hours", 6)))
+model("verify_publication_counts")(lambda p: AC.publication_counts({t: p.checked(t) for t in AC.PUBLICATION_TABLES}))
 
 
 # -- incremental load (N01, N02) ------------------------------------------------------------
-from pyspark.sql import functions as _F  # noqa: E402
-
-from costlens.streaming import incremental as INC  # noqa: E402
 
 FIRST_LOAD_LAG_DAYS = 7
 
@@ -373,5 +389,14 @@ def _first_load(p):
 
 
 model("incremental_extract")(lambda p: INC.incremental_extract(p["stg_query_history"], _first_load(p)))
+@model("upsert_versions")
+def _upsert_versions(p):
+    """Two upserts into a new table of the shared folder, read back."""
+    root = INC.table_root(p.spark, f"query-history-{_uuid.uuid4().hex}")
+    order = [_F.col("end_time").desc(), _F.col("_loaded_at").desc()]
+    INC.upsert(p.spark, root, _first_load(p), ["query_id"], order)
+    return INC.upsert(p.spark, root, INC.incremental_extract(p["stg_query_history"], INC.read_current(p.spark, root)), ["query_id"], order)
+
+
 model("upsert")(lambda p: INC.merge(_first_load(p), p["incremental_extract"], ["query_id"],
                                     [_F.col("end_time").desc(), _F.col("_loaded_at").desc()]))

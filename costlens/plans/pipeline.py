@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from costlens.functions.exprs import AsOf
 from costlens.session import checkpoint_root
 from costlens.sources import staging, telemetry
-from costlens.sources.seeds import Config, test_config
+from costlens.sources.seeds import Config, test_config  # the test copy serves from_testdata alone
 
 BUILDERS: dict[str, Callable[["Pipeline"], DataFrame]] = {}
 
@@ -35,21 +35,22 @@ def model(name: str):
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of: AsOf | None = None,
-                 config: Config | None = None, materialize: tuple[str, ...] = (), options: dict | None = None):
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of: AsOf, config: Config,
+                 materialize: tuple[str, ...] = (), options: dict | None = None):
         self.spark = spark
         self.raw = raw
-        self.as_of = as_of or AsOf()
-        self.config = config or test_config()
+        self.as_of = as_of
+        self.config = config
         self.materialize = set(materialize)
         self.options = dict(options or {})
         self._cache: dict[str, DataFrame] = {}
+        self._written: Pipeline | None = None
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, as_of: AsOf | None = None,
                       config: Config | None = None, **kw) -> "Pipeline":
         as_of = as_of or AsOf()
-        p = cls(spark, telemetry.derive(spark, sf_dir, as_of), as_of, config, **kw)
+        p = cls(spark, telemetry.derive(spark, sf_dir, as_of), as_of, config or test_config(), **kw)
         p.sf_dir = sf_dir
         return p
 
@@ -75,6 +76,17 @@ class Pipeline:
             self._cache[name] = df
         return self._cache[name]
 
+    def checked(self, name: str) -> DataFrame:
+        """A model as a written table: the quality checks and the reports read what a
+        run has published, each model written once from the written ones below it."""
+        if name.startswith("seed_"):
+            return self.seed(name.removeprefix("seed_"))
+        if name in staging.STAGING or name in self.materialize:
+            return self[name]
+        if self._written is None:
+            self._written = Pipeline(self.spark, self.raw, self.as_of, self.config, options=self.options, materialize=tuple(BUILDERS))
+        return self._written[name]
+
     def seed(self, name: str) -> DataFrame:
         key = f"seed:{name}"
         if key not in self._cache:

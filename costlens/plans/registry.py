@@ -34,7 +34,7 @@ def finalize(df: DataFrame) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PIPELINES:
         _PIPELINES[key] = Pipeline.from_testdata(spark, sf_dir)
     return _PIPELINES[key]

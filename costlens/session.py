@@ -31,16 +31,20 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "cos
     return spark
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for materialised tables and checkpoints.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset, as in local tests, a fresh scratch folder is created and recorded in
-    the session so every later call sees the same value."""
+def checkpoint_root(spark: SparkSession) -> str:
+    """Shared folder for materialised tables and checkpoints: ``spark.checkpoint.dir``
+    of the session. Only where it is unset and tasks run inside the driver, as in
+    tests, a scratch folder serves; other sessions are refused."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not root:
-        root = tempfile.mkdtemp(prefix="costlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _LOCAL_ROOTS.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="costlens-")
+        _LOCAL_ROOTS[context.applicationId] = root
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(os.path.join(root, "rdd"))
     return root

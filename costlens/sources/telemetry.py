@@ -87,20 +87,21 @@ BLOCKS = {
         ("table_created", "{AS_OF} - (p_partkey % 300 + 200) * INTERVAL '1' DAY"),
         ("table_dropped", "CASE WHEN p_partkey % 33 = 0 THEN {AS_OF} ELSE NULL END"),
     ]),
-    "access_objects": ("orders", None, [
-        ("query_id", "'Q' || lpad(CAST(o_orderkey AS STRING), 10, '0')"),
-        ("query_start_time", "{AS_OF} - (o_orderkey % 2000 % 200 + 1 + o_orderkey % 5) * INTERVAL '1' DAY"),
-        ("object_name", "'DB' || CAST(o_orderkey % 2000 % 4 AS STRING) || '.' || CASE WHEN o_orderkey % 2000 % 5 = 0 THEN 'staging' ELSE 'pub' END || '.' || CASE WHEN o_orderkey % 2000 % 6 = 0 THEN 'tmp_t' ELSE 't' END || CAST(o_orderkey % 2000 AS STRING)"),
+    # every line of an order is a read of its part's table, so any table can be read
+    "access_objects": ("lineitem", None, [
+        ("query_id", "'Q' || lpad(CAST(l_orderkey AS STRING), 10, '0')"),
+        ("query_start_time", "{AS_OF} - (l_partkey % 200 + 1 + l_orderkey % 5) * INTERVAL '1' DAY"),
+        ("object_name", "'DB' || CAST(l_partkey % 4 AS STRING) || '.' || CASE WHEN l_partkey % 5 = 0 THEN 'staging' ELSE 'pub' END || '.' || CASE WHEN l_partkey % 6 = 0 THEN 'tmp_t' ELSE 't' END || CAST(l_partkey AS STRING)"),
     ]),
-    "pipe_usage_history": ("lineitem", "l_linenumber = 1", [
+    "pipe_usage_history": ("lineitem", "l_linenumber % 5 = 1", [
         ("pipe_name", "'PIPE_' || CAST(l_suppkey % 7 AS STRING)"),
         ("start_time", "{AS_OF} - (l_partkey % 120 + 1) * INTERVAL '1' DAY"),
         ("credits_used", "l_quantity / 5000"),
         ("bytes_inserted", "l_partkey * 1000"),
         ("files_inserted", "l_suppkey"),
     ]),
-    "serverless_objects": ("lineitem", "l_linenumber BETWEEN 2 AND 5", [
-        ("service_type", "CASE l_linenumber WHEN 2 THEN 'AUTOMATIC_CLUSTERING' WHEN 3 THEN 'MATERIALIZED_VIEW' WHEN 4 THEN 'SERVERLESS_TASK' ELSE 'SEARCH_OPTIMIZATION' END"),
+    "serverless_objects": ("lineitem", "l_linenumber % 5 <> 1", [
+        ("service_type", "CASE l_linenumber % 5 WHEN 2 THEN 'AUTOMATIC_CLUSTERING' WHEN 3 THEN 'MATERIALIZED_VIEW' WHEN 4 THEN 'SERVERLESS_TASK' ELSE 'SEARCH_OPTIMIZATION' END"),
         ("database_name", "'DB' || CAST(l_suppkey % 4 AS STRING)"),
         ("schema_name", "'pub'"),
         ("object_name", "'t' || CAST(l_suppkey % 9 AS STRING)"),
@@ -184,7 +185,7 @@ def derive(spark: SparkSession, sf_dir: str, as_of: AsOf) -> dict[str, DataFrame
     acc = out.pop("access_objects")
     out["access_history"] = acc.groupBy("query_id").agg(
         F.min("query_start_time").alias("query_start_time"),
-        F.collect_list(F.struct(F.col("object_name").alias("objectName"))).alias("base_objects_accessed"),
+        F.sort_array(F.collect_list(F.struct(F.col("object_name").alias("objectName")))).alias("base_objects_accessed"),
     )
 
     sv = out.pop("serverless_objects")

@@ -1,15 +1,17 @@
 """Stateful alert episodes as a stream (N03) and idle sessions (N04).
 
-The episode stream keeps, per alert-resource key, the last episode number and
-the last detection time in Spark-managed state (``applyInPandasWithState``),
-and applies the same rule as the batch tracker: an alert seen within the
-active window continues its episode, anything else opens the next one. Fed the
-same batches, it produces the rows the batch tracker plus upsert produce.
+The episode stream keeps, per alert and resource, the last episode number and the
+last detection time in Spark-managed state (``applyInPandasWithState``), and
+applies the rule of the batch tracker: an alert seen again within the active window
+continues its episode, anything else opens the next one. The clock is the newest
+detection of the key in the batch, so a stream that runs for weeks, or that is
+replayed, decides as the batches did. State of a key that has been silent for
+``ttl_days`` of event time is dropped; its next alert opens episode 1 again.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,46 +24,54 @@ OUT_SCHEMA = ("alert_episode_key string, alert_id string, detected_at timestamp_
 STATE_SCHEMA = "last_episode long, last_detected_at timestamp_ntz"
 
 
-def _episode_fn(now: datetime, active_hours: int):
-    horizon = now - timedelta(hours=active_hours)
+def _newest(pdfs) -> pd.DataFrame:
+    """The newest row of a key, one piece of its batch after another."""
+    best = None
+    for pdf in pdfs:
+        both = pdf if best is None else pd.concat([best, pdf], ignore_index=True)
+        best = both.sort_values(["detected_at", "metric_value", "details_json"], ascending=[False, False, True], kind="mergesort").head(1)
+    return best
 
+
+def _episode_fn(active_hours: int, ttl_days: int):
     def fn(key, pdfs, state):
-        rows = pd.concat(list(pdfs), ignore_index=True)
-        rows = rows.sort_values(["detected_at", "metric_value", "details_json"],
-                                ascending=[False, False, True], kind="mergesort")
-        cur = rows.iloc[0]
+        if state.hasTimedOut:
+            state.remove()
+            return
+        cur = _newest(pdfs).iloc[0]
+        now = pd.Timestamp(cur["detected_at"])
+        episode, cont, seen = 1, False, now
         if state.exists:
             last_episode, last_seen = state.get
-            active = pd.Timestamp(last_seen) >= pd.Timestamp(horizon)
-            episode = int(last_episode) + (0 if active else 1)
-            new, cont = (not active), bool(active)
-            seen = max(pd.Timestamp(last_seen), pd.Timestamp(cur["detected_at"]))
-        else:
-            episode, new, cont, seen = 1, True, False, pd.Timestamp(cur["detected_at"])
+            cont = now - pd.Timestamp(last_seen) <= timedelta(hours=active_hours)
+            episode = int(last_episode) + (0 if cont else 1)
+            seen = max(pd.Timestamp(last_seen), now)
         state.update((episode, seen.to_pydatetime()))
+        state.setTimeoutTimestamp(int((seen + timedelta(days=ttl_days)).timestamp() * 1000))
+        alert, resource = key
         yield pd.DataFrame([{
-            "alert_episode_key": f"{cur['alert_id']}_episode_{episode}_{cur['resource_key']}",
-            "alert_id": cur["alert_id"], "detected_at": cur["detected_at"], "resource_key": cur["resource_key"],
-            "alert_resource_key": cur["alert_resource_key"], "metric_value": cur["metric_value"],
-            "threshold_value": cur["threshold_value"], "details_json": cur["details_json"],
-            "is_new_episode": new, "is_continuation": cont, "episode_number": episode}])
+            "alert_episode_key": None if resource is None else f"{alert}_episode_{episode}_{resource}",
+            "alert_id": alert, "detected_at": cur["detected_at"], "resource_key": resource,
+            "alert_resource_key": None if resource is None else f"{alert}||{resource}",
+            "metric_value": cur["metric_value"], "threshold_value": cur["threshold_value"],
+            "details_json": cur["details_json"], "is_new_episode": not cont, "is_continuation": cont,
+            "episode_number": episode}])
 
     return fn
 
 
-def episode_stream(alerts: DataFrame, now: datetime, active_hours: int = 6) -> DataFrame:
-    """``alerts``: a (streaming) frame in the alert union schema. Rows with a
-    NULL resource key have no episode key and are dropped, as in the batch
-    model where their key is NULL."""
-    keyed = (alerts.filter(F.col("resource_key").isNotNull())
-             .withColumn("alert_resource_key", F.concat(F.col("alert_id"), F.lit("||"), F.col("resource_key"))))
-    return keyed.groupBy("alert_resource_key").applyInPandasWithState(
-        _episode_fn(now, active_hours), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+def episode_stream(alerts: DataFrame, active_hours: int = 6, ttl_days: int = 400, lateness: str = "7 days") -> DataFrame:
+    """``alerts``: a (streaming) frame in the alert union schema. Rows with a NULL
+    resource key are one key of their alert, without episode key, as in the batch
+    model. Rows older than ``lateness`` before the newest are no longer taken."""
+    timed = alerts.withColumn("event_time", F.col("detected_at").cast("timestamp")).withWatermark("event_time", lateness)
+    return timed.groupBy("alert_id", "resource_key").applyInPandasWithState(
+        _episode_fn(active_hours, ttl_days), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def idle_sessions(util_stream: DataFrame, gap: str = "10 minutes", lateness: str = "1 hour") -> DataFrame:
     """Idle periods as they close: session windows over idle intervals. Unlike
-    the batch islands, a time gap also ends a session (rows-only checked)."""
+    the batch islands, a time gap also ends a session."""
     idle = util_stream.filter(F.col("is_idle")).withWatermark("interval_start", lateness)
     return (idle.groupBy("warehouse_name", F.session_window("interval_start", gap).alias("session"))
             .agg(F.min("interval_start").alias("idle_start"), F.max("interval_end").alias("idle_end"),

@@ -1,33 +1,33 @@
 """Incremental extract (N01) and keyed upsert (N02).
 
-``upsert`` writes each merged state as a new version directory under a table
-root in the shared checkpoint folder and then renames a small pointer file into
-place (Hadoop FileSystem API, so it works on HDFS and object stores too); a
-reader never sees a half-written table and a failed job leaves the previous
-version intact. ``foreachBatch`` calls the same function for the streaming
-variant.
+``upsert`` writes each merged state as the next numbered version under a table
+root in the shared checkpoint folder. Spark's committer marks a finished write
+with ``_SUCCESS``; a reader takes the highest marked version, so there is no
+pointer to lose: a writer that dies leaves a version without the mark, which
+nobody reads and the next writer steps over. A version folder is never written
+twice, so of two writers at once the later one fails instead of dropping the
+other's rows. ``foreachBatch`` calls the same function for the streaming variant.
+Versions below the newest are left for the storage's own retention rules.
 """
 
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from costlens.session import checkpoint_root
 
-POINTER = "_CURRENT"
-
 
 def incremental_extract(source: DataFrame, target: DataFrame | None, ts: str = "end_time") -> DataFrame:
     """Rows newer than the target's high-water mark (all rows on first load).
-    As in the model, a late row with an older timestamp is not picked up."""
+    The mark is a scalar subquery, so the comparison is a plain filter and there is
+    no join. As in the model, a late row with an older timestamp is not picked up."""
     if target is None:
         return source
-    hwm = target.agg(F.max(ts).alias("_hwm"))
-    return source.crossJoin(F.broadcast(hwm)).filter(F.col("_hwm").isNull() | (F.col(ts) > F.col("_hwm"))).drop("_hwm")
+    mark = target.agg(F.max(ts)).scalar()
+    return source.filter(mark.isNull() | (F.col(ts) > mark))
 
 
 def merge(target: DataFrame | None, updates: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -45,49 +45,47 @@ def table_root(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "tables", name)
 
 
-def _fs(spark: SparkSession, path: str):
-    """Hadoop FileSystem of ``path`` (local disk, HDFS or an object store),
-    so the pointer works wherever the checkpoint folder lives."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+def versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
+    """(number, finished) of the versions under ``root``, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)  # the store of the folder, whichever it is
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    found = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("v") and name[1:].isdigit():
+            mark = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            found.append((int(name[1:]), fs.exists(mark)))
+    return sorted(found)
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    try:
-        return reader.readLine().strip()
-    finally:
-        reader.close()
-
-
-def _write_pointer(spark: SparkSession, root: str, version: str) -> None:
-    """Write the pointer to a temporary file, then rename it over the old one."""
-    fs, tmp = _fs(spark, os.path.join(root, f".{POINTER}.{version}"))
-    out = fs.create(tmp, True)
-    out.write(bytearray(version.encode("utf-8")))
-    out.close()
-    _, ptr = _fs(spark, os.path.join(root, POINTER))
-    if fs.exists(ptr):
-        fs.delete(ptr, False)
-    fs.rename(tmp, ptr)
+def _folder(root: str, number: int) -> str:
+    return os.path.join(root, f"v{number:010d}")
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    version = _read_text(spark, os.path.join(root, POINTER))
-    return None if version is None else spark.read.parquet(os.path.join(root, version))
+    """The newest finished version; None before the first load. A root with
+    versions of which none is finished is an error, not a first load."""
+    found = versions(spark, root)
+    done = [n for n, finished in found if finished]
+    if not done:
+        if len(found) > 1:
+            raise ValueError(f"no finished version under {root}")
+        return None
+    return spark.read.parquet(_folder(root, done[-1]))
 
 
-def upsert(spark: SparkSession, root: str, updates: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    """Merge ``updates`` into the table at ``root`` and publish a new version."""
+def upsert(spark: SparkSession, root: str, updates: DataFrame, key: list[str], order: list[Column],
+           partition: list[str] | None = None) -> DataFrame:
+    """Merge ``updates`` into the table at ``root`` as its next version, laid out by
+    the columns ``partition`` where given."""
+    found = versions(spark, root)
+    path = _folder(root, found[-1][0] + 1 if found else 1)
     merged = merge(read_current(spark, root), updates, key, order)
-    version = f"v-{uuid.uuid4().hex[:12]}"
-    merged.write.mode("overwrite").parquet(os.path.join(root, version))
-    _write_pointer(spark, root, version)
-    return spark.read.parquet(os.path.join(root, version))
+    writer = merged.write.mode("errorifexists")
+    (writer.partitionBy(*partition) if partition else writer).parquet(path)
+    return spark.read.parquet(path)
 
 
 def stream_extract(spark: SparkSession, path: str, schema, ts: str = "end_time", key: str = "query_id",
