@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from costlens.plans.rank import exact_percentiles
 from costlens.functions import exprs as X
 from costlens.functions.exprs import AsOf
 
@@ -77,8 +78,8 @@ def cost_by_warehouse(wh_daily: DataFrame, util: DataFrame, qca: DataFrame) -> D
         (F.sum(F.when(F.col("is_idle"), 1).otherwise(0)).cast("double") / F.count(F.lit(1)) * 100).alias("idle_pct"),
         (F.avg("queue_ratio") * 100).alias("avg_queue_pct"))
     q = qca.groupBy("warehouse_name").agg(
-        F.count(F.lit(1)).alias("total_queries"), F.avg("estimated_cost_usd").alias("avg_query_cost_usd"),
-        F.median("execution_time_s").alias("median_execution_time_s"))
+        F.count(F.lit(1)).alias("total_queries"), F.avg("estimated_cost_usd").alias("avg_query_cost_usd"))
+    q = q.join(exact_percentiles(qca, "warehouse_name", "execution_time_s", {"median_execution_time_s": 0.5}), "warehouse_name", "left")
     z = F.lit(0.0)
     return credits.join(u, "warehouse_name", "left").join(q, "warehouse_name", "left").select(
         "warehouse_name", "total_credits", "total_cost_usd", "compute_credits", "cloud_credits",

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from costlens.plans.rank import exact_percentiles
 from costlens.functions import exprs as X
 
 
@@ -95,14 +96,15 @@ def warehouse_sizing_analysis(qh: DataFrame, util: DataFrame, approx: bool = Fal
                      & X.not_like_any("query_text", X.INTERNAL_PREFIXES_ATTRIBUTION))
     ms = F.col("execution_time_ms")
 
-    def pct(p):
-        return F.percentile_approx(ms, p, 10000).cast("double") if approx else F.percentile(ms, p)
-
+    wanted = {"p50_exec_ms": 0.5, "p95_exec_ms": 0.95, "p99_exec_ms": 0.99}
+    if approx:
+        pcts = rows.groupBy("warehouse_name").agg(*[F.percentile_approx(ms, p, 10000).cast("double").alias(n) for n, p in wanted.items()])
+    else:
+        pcts = exact_percentiles(rows, "warehouse_name", "execution_time_ms", wanted)
     stats = rows.groupBy("warehouse_name").agg(
         F.coalesce(F.mode("warehouse_size", True), F.max("warehouse_size")).alias("current_size"),
         F.count(F.lit(1)).alias("total_queries"),
         F.avg(ms).alias("avg_exec_ms"),
-        pct(0.5).alias("p50_exec_ms"), pct(0.95).alias("p95_exec_ms"), pct(0.99).alias("p99_exec_ms"),
         F.avg("queued_overload_time_ms").alias("avg_queue_ms"),
         (F.sum(F.when(F.col("bytes_spilled_to_remote_storage") > 0, 1).otherwise(0)).cast("double")
          / F.count(F.lit(1)) * 100).alias("spill_rate_pct"),
@@ -112,7 +114,7 @@ def warehouse_sizing_analysis(qh: DataFrame, util: DataFrame, approx: bool = Fal
     peak = (util.groupBy("warehouse_name", F.hour("interval_start").alias("h"))
             .agg(F.avg("utilisation_pct").alias("hourly_utilisation"))
             .groupBy("warehouse_name").agg(F.max("hourly_utilisation").alias("peak_hour_utilisation")))
-    return stats.join(peak, "warehouse_name", "left").select(
+    return stats.join(pcts, "warehouse_name", "left").join(peak, "warehouse_name", "left").select(
         "warehouse_name", "current_size", "total_queries", "unique_users", "unique_roles", "avg_exec_ms",
         "p50_exec_ms", "p95_exec_ms", "p99_exec_ms", "avg_queue_ms", "spill_rate_pct", "avg_bytes_scanned",
         F.coalesce("peak_hour_utilisation", F.lit(0.0)).alias("peak_hour_utilisation"))

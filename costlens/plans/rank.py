@@ -48,3 +48,25 @@ def global_ntile(df: DataFrame, order: list[Column], buckets: int, out: str) ->
     tile = F.when(rn < big_rows, F.floor(rn / (small + 1)) + 1).otherwise(
         F.floor((rn - big_rows) / F.when(small > 0, small).otherwise(1)) + extra + 1)
     return numbered.crossJoin(F.broadcast(total)).withColumn(out, tile.cast("long")).drop("_rn", "_total")
+
+
+def exact_percentiles(rows: DataFrame, key: str, value: str, wanted: dict[str, float]) -> DataFrame:
+    """Exact interpolated percentiles per ``key``, one column per entry of ``wanted``.
+
+    Rows are counted per (key, value) first, with partial counts before the shuffle;
+    the running count over a key's distinct values then tells which value stands at
+    a position. No task buffers the values of a whole key, as an aggregate would."""
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(key).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    totals = counts.groupBy(F.col(key).alias("_key")).agg(F.sum("_n").alias("_total"))
+    placed = counts.withColumn("_upto", upto).join(totals, F.col(key).eqNullSafe(F.col("_key")))
+
+    def at(index):
+        return F.max(F.when((F.col("_upto") - F.col("_n") <= index) & (index < F.col("_upto")), F.col(value).cast("double")))
+
+    out = []
+    for name, p in wanted.items():
+        place = (F.col("_total") - 1) * F.lit(float(p))
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        out.append((low + (high - low) * F.max(place - F.floor(place))).alias(name))
+    return placed.groupBy(key).agg(*out)

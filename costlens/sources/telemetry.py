@@ -194,3 +194,37 @@ def derive(spark: SparkSession, sf_dir: str, as_of: AsOf) -> dict[str, DataFrame
         out[table] = sv.filter(F.col("service_type") == service).select(
             F.col("object_name").alias(obj), "schema_name", "database_name", "start_time", "credits_used")
     return out
+
+
+_SERVERLESS = "schema_name string, database_name string, start_time timestamp_ntz, credits_used double"
+# FIXED VALUES: columns of the account's usage tables.
+SOURCES = {
+    "query_history": (
+        "query_id string, query_text string, query_type string, query_tag string, session_id bigint, user_name string, role_name string, "
+        "warehouse_name string, warehouse_size string, database_name string, execution_status string, start_time timestamp_ntz, "
+        "total_elapsed_time_ms bigint, execution_time_ms bigint, queued_overload_time_ms bigint, bytes_scanned bigint, rows_produced bigint, "
+        "partitions_scanned bigint, partitions_total int, bytes_spilled_to_local_storage bigint, bytes_spilled_to_remote_storage bigint, "
+        "query_parameterized_hash string, credits_used_cloud_services double, end_time timestamp_ntz"),
+    "warehouse_metering_history": "warehouse_name string, start_time timestamp_ntz, end_time timestamp_ntz, credits_used_compute double, credits_used_cloud_services double, credits_used double",
+    "warehouse_load_history": "warehouse_name string, start_time timestamp_ntz, end_time timestamp_ntz, avg_running double, avg_queued_load double, avg_queued_provisioning double, avg_blocked double",
+    "table_storage_metrics": (
+        "id bigint, table_name string, table_schema string, table_catalog string, is_transient string, active_bytes bigint, time_travel_bytes bigint, "
+        "failsafe_bytes bigint, retained_for_clone_bytes bigint, table_created timestamp_ntz, table_dropped timestamp_ntz"),
+    "pipe_usage_history": "pipe_name string, start_time timestamp_ntz, credits_used double, bytes_inserted bigint, files_inserted bigint",
+    "login_history": "event_id bigint, event_timestamp timestamp_ntz, event_type string, user_name string, is_success string",
+    "sessions": "session_id bigint, user_name string, created_on timestamp_ntz",
+    "storage_usage": "usage_date date, storage_bytes bigint, stage_bytes bigint, failsafe_bytes bigint",
+    "database_storage_usage_history": "usage_date date, database_name string, average_database_bytes bigint",
+    "access_history": "query_id string, query_start_time timestamp_ntz, base_objects_accessed array<struct<objectName:string>>",
+    "automatic_clustering_history": f"table_name string, {_SERVERLESS}",
+    "materialized_view_refresh_history": f"table_name string, {_SERVERLESS}",
+    "serverless_task_history": f"task_name string, {_SERVERLESS}",
+    "search_optimization_history": f"table_name string, {_SERVERLESS}",
+}
+
+
+def read_sources(spark: SparkSession, folder: str, form: str = "parquet") -> dict[str, DataFrame]:
+    """The 14 usage tables from ``<folder>/<table>`` under their fixed schemas, for
+    ``Pipeline(spark, read_sources(...), as_of, config)``. Folders partitioned by a
+    date column are pruned by filters on it; a missing table is an error."""
+    return {name: spark.read.schema(schema).format(form).load(f"{folder}/{name}") for name, schema in SOURCES.items()}

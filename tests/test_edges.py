@@ -231,3 +231,30 @@ def test_config_from_csv(spark, tmp_path):
     assert read == seeds.Config()
     assert [tuple(r) for r in read.frame(spark, "monthly_budget").collect()] == list(read.monthly_budget)
     assert read.frame(spark, "recommendation_actions").count() == 0
+
+
+def test_exact_percentiles(spark):
+    import numpy as np
+    from costlens.plans.rank import exact_percentiles
+    rng = np.random.default_rng(3)
+    rows = [("a", int(v)) for v in rng.integers(0, 50, 1001)] + [("b", 7), ("c", 1), ("c", 2), ("d", None)]
+    got = {r.k: (r.p50, r.p95) for r in exact_percentiles(spark.createDataFrame(rows, "k string, v long"), "k", "v", {"p50": 0.5, "p95": 0.95}).collect()}
+    for k in "abc":
+        values = [v for x, v in rows if x == k]
+        assert got[k] == pytest.approx((np.percentile(values, 50), np.percentile(values, 95)))
+    assert set(got) == {"a", "b", "c"}
+
+
+def test_sources_from_files(spark, tmp_path):
+    from costlens.plans.pipeline import Pipeline
+    from costlens.sources import telemetry
+    from costlens.sources.seeds import Config
+    derived = telemetry.derive(spark, "/root/testdata/sf0.001", AsOf())
+    for name, df in derived.items():
+        df.write.parquet(str(tmp_path / name))
+    read = telemetry.read_sources(spark, str(tmp_path))
+    assert {n: d.dtypes for n, d in read.items()} == {n: d.dtypes for n, d in derived.items()}
+    p, q = Pipeline(spark, read, AsOf(), Config()), Pipeline.from_testdata(spark, "/root/testdata/sf0.001", config=Config())
+    assert p["daily_cost_rollup"].count() == q["daily_cost_rollup"].count() > 0
+    with pytest.raises(TypeError):
+        Pipeline(spark, read)  # clock and config have no default
