@@ -229,10 +229,12 @@ def assign(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     rows = cut(fingerprints(docs, shingle), "fingerprints")
     own = rows.groupBy("doc_id").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).filter("doc_id IS NOT NULL AND x <> y")
     reps = rows.groupBy("fp").agg(F.min("doc_id").alias("rep")).filter("rep IS NOT NULL")
+    reps = cut(reps, "fingerprint-reps")
     # the fingerprints of a doc_id that comes with several texts belong together
     same = rows.join(own.select("doc_id"), "doc_id").join(reps, "fp").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     roots_of = components(links(reps, max_bits).unionByName(same))
     labels = reps.join(roots_of, reps["rep"] == roots_of["node"], "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
+    labels = cut(labels, "fingerprint-labels")  # a plain join follows, whose hot partitions adaptive execution splits
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.join(labels, "fp", "left").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
