@@ -139,37 +139,47 @@ def _met(kind, key=None, mask=None, block=None, a=None, b=None):
 
 def _meet(max_bits: int):
     """Links of the keys that fit a block, and the rows of the larger keys by block;
-    batches come sorted by mask and key."""
+    batches come sorted by mask and key. A key is passed on as soon as it outgrows a
+    block, so a task holds a block and a batch at most."""
+    def later(mask, key, fp, rep, at):
+        return _met("later", key, mask, (at // BLOCK).astype(np.int32), fp, rep)
+
     def links(mask, key, fp, rep):
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (mask[1:] != mask[:-1])
         group = np.cumsum(new) - 1
         size = np.bincount(group)
-        big = size > BLOCK
+        big = (size > BLOCK)[group]
         at = np.arange(len(key)) - np.flatnonzero(new)[group]
-        out = []
         if big.any():
-            w = np.flatnonzero(big[group])
-            out.append(_met("later", key[w], mask[w], (at[w] // BLOCK).astype(np.int32), fp[w], rep[w]))
-        w = np.flatnonzero((size > 1)[group] & ~big[group])
+            yield later(mask[big], key[big], fp[big], rep[big], at[big])
+        w = np.flatnonzero((size > 1)[group] & ~big)
         if len(w):
             a, b = _forest(group[w], fp[w].view(np.uint64), max_bits)
-            out.append(_met("link", a=rep[w][a], b=rep[w][b]))
-        return out
+            yield _met("link", a=rep[w][a], b=rep[w][b])
 
     def run(batches):
-        held = None
+        held, large, passed = None, None, 0  # large: an unfinished key of which ``passed`` rows went on
         for batch in batches:
             rows = [batch[c].to_numpy(zero_copy_only=False) for c in ("mask", "key", "fp", "rep")]
-            if not len(rows[0]):
-                continue
             if held is not None:
                 rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            if large is not None:
+                n = int(((rows[0] == large[0]) & (rows[1] == large[1])).sum())
+                if n:
+                    yield later(*(x[:n] for x in rows), np.arange(passed, passed + n))
+                    passed, rows = passed + n, [x[n:] for x in rows]
+            if not len(rows[0]):
+                continue
             edge = np.flatnonzero((rows[1] != rows[1][-1]) | (rows[0] != rows[0][-1]))
             ready = edge[-1] + 1 if len(edge) else 0
             if ready:
                 yield from links(*(x[:ready] for x in rows))
-            held = [x[ready:] for x in rows]
+            held, large = [x[ready:] for x in rows], None
+            if len(held[0]) > BLOCK:
+                large, passed = (held[0][0], held[1][0]), len(held[0])
+                yield later(*held, np.arange(passed))
+                held = None
         if held is not None:
             yield from links(*held)
     return run

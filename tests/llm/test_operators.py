@@ -285,6 +285,20 @@ def test_simhash_large_group_and_all_links(spark):
     assert {i: root.get(i, i) for i in range(len(u))} == dict(enumerate(want.tolist()))
 
 
+def test_simhash_large_keys_are_passed_on_in_pieces(monkeypatch):
+    """Blocks and links do not depend on how the rows come in batches."""
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    rnd = random.Random(8)
+    rows = sorted((m, k, rnd.getrandbits(50), rnd.getrandbits(40)) for m in range(3) for k in range(4) for _ in range(rnd.choice([1, 5, 16, 17, 70])))
+
+    def met(size):
+        parts = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + size], strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["mask", "key", "fp", "rep"]) for i in range(0, len(rows), size)]
+        return sorted((r["kind"], r["key"], r["mask"], r["block"], r["a"], r["b"]) for b in simhash._meet(22)(iter(parts)) for r in b.to_pylist())
+
+    whole = met(len(rows))
+    assert {r[0] for r in whole} == {"later", "link"} and all(met(n) == whole for n in (1, 3, 10, 33))
+
+
 # --- op6
 
 def test_exact_dedup(spark, docs, rows):
