@@ -1,7 +1,7 @@
 """Conflict-constrained best-fit packing into sequences of a fixed number of ids.
 
 Pieces are documents; one longer than the capacity first fills whole bins, and its
-rest is a piece. Documents are dealt by a hash of doc_id to shards of about
+rest is a piece. Documents are dealt by a hash of doc_id and text to shards of about
 SHARD_DOCS; a shard is packed by one task from four numbers a document. Within it,
 pieces go by falling size, then doc_id. Open bins are ordered by residual; a bin
 carries a bitmap of its sources and one of its duplicate clusters, and a piece may
@@ -122,7 +122,7 @@ def pack_lengths(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Pack rows of doc_id, source, cluster, n_tokens."""
     rows = cut(rows, "lengths")
     shards = max(1, math.ceil(rows.count() / SHARD_DOCS))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "n_tokens"), F.lit(shards)).cast("int"))
     return dealt.groupBy("shard").applyInArrow(_pack(capacity), PLACED)
 
 
