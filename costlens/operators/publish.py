@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from costlens.plans.rank import exact_percentiles
+from costlens.plans.rank import exact_percentiles, rank_within
 from costlens.functions import exprs as X
 from costlens.functions.exprs import AsOf
 
@@ -59,10 +59,10 @@ def cost_by_user(ucs: DataFrame, qca: DataFrame, top: int = 5) -> DataFrame:
                  "cost_rank", "query_id", "query_type", X.round4("estimated_cost_usd").alias("cost_usd"),
                  X.round4("execution_time_s").alias("execution_time_s")))).alias("_top")))
     ranked = users.join(top_q, "user_name", "left")
-    # users are few (one row each); the overall rank window is over that table
+    ranked = rank_within(ranked.withColumn("_all", F.lit(1)), "_all", "total_cost_usd", "overall_cost_rank")
     return ranked.select(
         "user_name", "total_queries", "total_cost_usd", "avg_cost_per_query", "total_bytes_scanned",
-        "avg_execution_time_s", F.rank().over(Window.orderBy(F.col("total_cost_usd").desc())).alias("overall_cost_rank"),
+        "avg_execution_time_s", "overall_cost_rank",
         # a user without queries (NULL user) gets one empty object, as the model does
         F.coalesce(F.to_json(F.transform("_top", lambda t: t.dropFields("cost_rank"))), F.lit("[{}]"))
         .alias("top_5_expensive_queries"))

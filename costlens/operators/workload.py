@@ -4,7 +4,10 @@ Mapping: inventory -> lineitem (item l_partkey, warehouse l_suppkey, date
 l_shipdate, quantity l_quantity), item -> part (category = first word of
 p_type, class = p_brand, price = p_retailprice), warehouse -> supplier,
 customer demographics -> customer x nation x region (state = nation, segment =
-c_mktsegment, income = c_acctbal). A quantity under 5 counts as "out of stock".
+c_mktsegment, income = c_acctbal, credit = bands of c_acctbal). A quantity under 5
+counts as "out of stock". The shapes that also count brands (valuations) take
+class = p_size and brand = p_brand. Ranked sums are rounded to cents first, so that
+the order of a float sum cannot part a tie.
 
 Supplier, part and customer grow with the data, so their joins are left to
 AQE, which broadcasts a side only when its measured size is under the
@@ -17,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens.functions.exprs import round_half_up
-from costlens.plans.rank import global_ntile
+from costlens.plans.rank import global_ntile, rank_within
 
 LOW_STOCK = 5
 # FIXED VALUES: parameters of the workload shapes
@@ -27,6 +30,8 @@ SIGNAL_YEAR, SIGNAL_MONTHS = 1998, (1, 6)
 REPORT_FIRST_DAY, REPORT_DAYS = "1998-01-01", 25
 CUSTOMER_STATES = ["NATION_0", "NATION_3", "NATION_7", "NATION_12", "NATION_21"]
 TOP_SIGNALS = 100000
+VALUATION_YEAR, VALUATION_MONTHS = 1998, (1, 3)
+BURST_HEALTH_YEARS = [1997, 1998]
 
 
 def _category():
@@ -171,38 +176,70 @@ def affinity_cross(t: dict) -> DataFrame:
         F.count(F.when(bal <= 2500, 1)).alias("nurture_targets"))
 
 
+def _lifetime(t: dict) -> DataFrame:
+    return t["orders"].groupBy("o_custkey").agg(
+        round_half_up(F.sum("o_totalprice"), 2).alias("lifetime_value"), F.count(F.lit(1)).alias("order_count"),
+        F.max("o_orderdate").alias("last_order"))
+
+
 def ltv_ranking(t: dict) -> DataFrame:
-    o = t["orders"].groupBy("o_custkey").agg(F.sum("o_totalprice").alias("lifetime_value"),
-                                             F.count(F.lit(1)).alias("order_count"))
+    """Tier, credit band, dense rank of the lifetime value per state and a composite
+    score, as a full sort without a limit. States are few: ``rank_within``."""
+    o = _lifetime(t)
     c = (t["customer"].join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
          .join(F.broadcast(t["nation"]), F.col("c_nationkey") == F.col("n_nationkey"), "left"))
-    ltv = F.coalesce("lifetime_value", F.lit(0.0))
-    tier = F.when(ltv > 1000000, "PLATINUM").when(ltv > 500000, "GOLD").when(ltv > 100000, "SILVER").otherwise("BRONZE")
-    return c.select("c_custkey", "c_name", F.col("n_name").alias("state"), ltv.alias("lifetime_value"),
-                    F.coalesce("order_count", F.lit(0)).alias("order_count"), tier.alias("tier"),
-                    F.dense_rank().over(Window.partitionBy("n_name").orderBy(ltv.desc())).alias("state_rank"))
+    ltv, bal, tier = F.coalesce("lifetime_value", F.lit(0.0)), F.col("c_acctbal"), F.col("tier")
+    c = c.select("c_custkey", "c_name", F.col("n_name").alias("state"), ltv.alias("lifetime_value"),
+                 F.coalesce("order_count", F.lit(0)).alias("order_count"),
+                 F.when(ltv > 1000000, "PLATINUM").when(ltv > 500000, "GOLD").when(ltv > 100000, "SILVER")
+                 .otherwise("BRONZE").alias("tier"),
+                 F.when(bal > 7500, 4).when(bal > 5000, 3).when(bal > 2500, 2).otherwise(1).alias("credit_score"))
+    c = rank_within(c, "state", "lifetime_value", "state_rank", dense=True)
+    points = F.when(tier == "PLATINUM", 100).when(tier == "GOLD", 70).when(tier == "SILVER", 40).otherwise(10)
+    return c.withColumn("ltv_score", round_half_up(F.col("credit_score") * 30 + F.col("lifetime_value") / 1000 + points, 2)).orderBy(
+        F.col("ltv_score").desc(), "state", "c_custkey")
+
+
+def _valued(t: dict, year: int, first: int, last: int) -> DataFrame:
+    """Line values of some months with supplier, category, class (part size) and brand."""
+    inv = _inventory(t).filter(_shipped(_months(year, first, last)))
+    return (inv.join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
+            .join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
+            .withColumn("quarter_name", _quarter_name("l_shipdate")).withColumn("category", _category())
+            .withColumn("class", F.col("p_size")).withColumn("line_value", F.col("l_quantity") * F.col("p_retailprice")))
 
 
 def quarterly_valuation(t: dict) -> DataFrame:
-    inv = _inventory(t).join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
-    q = inv.groupBy("l_suppkey", _quarter_name("l_shipdate").alias("quarter_name")).agg(
-        F.sum(F.col("l_quantity") * F.col("p_retailprice")).alias("quarter_value"),
-        F.count_distinct("l_partkey").alias("unique_items"))
-    q = q.withColumn("running_value", F.sum("quarter_value").over(
-        Window.partitionBy("l_suppkey").orderBy("quarter_name").rowsBetween(Window.unboundedPreceding, 0)))
-    per_q = q.groupBy("quarter_name").agg(F.sum("quarter_value").alias("total_value"),
-                                          F.count(F.lit(1)).alias("suppliers"),
-                                          F.max("running_value").alias("max_running_value"))
-    x = per_q.crossJoin(F.broadcast(t["region"].select("r_name")))
-    return x.select("quarter_name", "r_name", "total_value", "suppliers", "max_running_value",
-                    F.rank().over(Window.partitionBy("r_name").orderBy(F.col("total_value").desc())).alias("value_rank"))
+    """Quarter, supplier and category totals for every region. Line values are never
+    negative, so the highest running value of a category within its supplier's quarter
+    is the one at its end: the running sum is taken over the category totals, and no
+    task orders the lines of a hot supplier."""
+    g = _valued(t, VALUATION_YEAR, *VALUATION_MONTHS).groupBy("quarter_name", "s_suppkey", "s_name", "s_nationkey", "category").agg(
+        F.count(F.lit(1)).alias("record_count"), F.sum("line_value").alias("value"),
+        F.avg("line_value").alias("avg_line_value"), F.count_distinct("p_brand").alias("brand_count"),
+        F.count(F.when(F.col("l_quantity") < LOW_STOCK, 1)).alias("zero_stock_records"))
+    upto = F.sum("value").over(Window.partitionBy("quarter_name", "s_suppkey").orderBy("category")
+                               .rowsBetween(Window.unboundedPreceding, 0))
+    g = (g.withColumn("max_cumulative", upto).withColumn("total_value", round_half_up("value", 2))
+         .join(F.broadcast(t["nation"]), F.col("s_nationkey") == F.col("n_nationkey"), "left"))
+    x = g.crossJoin(F.broadcast(t["region"].select("r_name"))).select(
+        "quarter_name", "s_name", F.col("n_name").alias("supplier_state"), "category", "r_name", "record_count",
+        "total_value", "avg_line_value", "max_cumulative", "brand_count", "zero_stock_records",
+        round_half_up(F.col("zero_stock_records") * 100.0 / F.col("record_count"), 2).alias("zero_stock_pct"))
+    return rank_within(x, "quarter_name", "total_value", "value_rank").orderBy(
+        F.col("total_value").desc(), "quarter_name", "s_name", "category", "r_name")
 
 
 def burst_health(t: dict) -> DataFrame:
-    j = _inventory(t).join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey")).join(
+    inv = _inventory(t).filter(_shipped(*[(f"{y}-01-01", f"{y + 1}-01-01") for y in BURST_HEALTH_YEARS]))
+    j = inv.join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey")).join(
         t["part"], F.col("l_partkey") == F.col("p_partkey"))
-    g = j.groupBy("s_name", _category().alias("category")).agg(F.sum("l_quantity").alias("total_qty"))
-    return g.withColumn("qty_rank", F.rank().over(Window.partitionBy("s_name").orderBy(F.col("total_qty").desc())))
+    g = j.groupBy("s_name", _category().alias("category")).agg(
+        F.sum("l_quantity").alias("total_qty"), F.count(F.when(F.col("l_quantity") < LOW_STOCK, 1)).alias("stockout_count"),
+        F.count(F.lit(1)).alias("total_records"), F.stddev_samp("l_quantity").alias("qty_stddev"))
+    return (g.withColumn("qty_rank", F.rank().over(Window.partitionBy("s_name").orderBy(F.col("total_qty").desc())))
+            .withColumn("stockout_pct", round_half_up(F.col("stockout_count") * 100.0 / F.col("total_records"), 2))
+            .orderBy(F.col("stockout_pct").desc(), "s_name", "category"))
 
 
 def burst_volatility(t: dict, top: int = TOP_SIGNALS) -> DataFrame:
@@ -216,21 +253,26 @@ def burst_volatility(t: dict, top: int = TOP_SIGNALS) -> DataFrame:
 
 
 def burst_loyalty(t: dict) -> DataFrame:
-    o = t["orders"].groupBy("o_custkey").agg(F.count(F.lit(1)).alias("order_count"),
-                                             F.max("o_orderdate").alias("last_order"))
-    c = t["customer"].join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return c.select("c_custkey", "c_mktsegment", "order_count", "last_order",
-                    F.dense_rank().over(Window.partitionBy("c_mktsegment")
-                                        .orderBy(F.col("order_count").desc_nulls_last())).alias("loyalty_rank"))
+    """Tier by lifetime value and credit, dense rank of the balance per state."""
+    c = (t["customer"].join(F.broadcast(t["nation"]), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+         .filter(F.col("n_name").isin(*CUSTOMER_STATES))
+         .join(_lifetime(t), F.col("c_custkey") == F.col("o_custkey"), "left"))
+    rating = F.when(F.col("c_acctbal") > 5000, "HIGH").otherwise("LOW")
+    tier = F.when((F.col("lifetime_value") > 1000000) & (rating == "HIGH"), "PLATINUM").when(
+        F.col("lifetime_value") > 500000, "GOLD").otherwise("SILVER")
+    c = c.select("c_custkey", "c_name", F.col("n_name").alias("state"), rating.alias("credit_rating"), "c_acctbal",
+                 "order_count", "last_order", tier.alias("loyalty_tier"))
+    return rank_within(c, "state", "c_acctbal", "state_rank", dense=True).orderBy(
+        F.col("c_acctbal").desc_nulls_last(), "c_custkey")
 
 
 def burst_valuation(t: dict) -> DataFrame:
-    j = _inventory(t).join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
-    g = j.groupBy(_category().alias("category"), _quarter_name("l_shipdate").alias("quarter_name")).agg(
-        (F.sum(F.col("l_quantity") * F.col("p_retailprice")) / F.sum("l_quantity")).alias("weighted_price"),
-        F.sum("l_quantity").alias("total_qty"))
-    return g.withColumn("price_rank", F.rank().over(Window.partitionBy("quarter_name")
-                                                    .orderBy(F.col("weighted_price").desc())))
+    g = _valued(t, SIGNAL_YEAR, *SIGNAL_MONTHS).groupBy("quarter_name", "s_name", "category", "class").agg(
+        round_half_up(F.sum("line_value"), 2).alias("total_value"), F.count_distinct("p_brand").alias("brand_count"),
+        F.avg("l_quantity").alias("avg_qty"),
+        (F.sum("line_value") / F.nullif(F.sum("l_quantity"), F.lit(0.0))).alias("weighted_avg_price"))
+    return rank_within(g, "quarter_name", "total_value", "value_rank").orderBy(
+        F.col("total_value").desc(), "quarter_name", "s_name", "category", "class")
 
 
 def item_stats(t: dict) -> DataFrame:

@@ -83,33 +83,38 @@ FROM customer, nation, region
 WHERE c_nationkey = n_nationkey AND n_regionkey = r_regionkey
 GROUP BY r_name, c_mktsegment""")
 
-LTV = "COALESCE(o.lifetime_value, 0)"
+SPENT = f"(SELECT o_custkey, {rhu('SUM(o_totalprice)', 2)} AS spent, COUNT(*) AS order_count, MAX(o_orderdate) AS last_order FROM orders GROUP BY 1)"
 final("wl_ltv_ranking", f"""
-SELECT c_custkey, c_name, n_name AS state, {LTV} AS lifetime_value, COALESCE(o.order_count, 0) AS order_count,
-  CASE WHEN {LTV} > 1000000 THEN 'PLATINUM' WHEN {LTV} > 500000 THEN 'GOLD' WHEN {LTV} > 100000 THEN 'SILVER'
-       ELSE 'BRONZE' END AS tier,
-  DENSE_RANK() OVER (PARTITION BY n_name ORDER BY {LTV} DESC) AS state_rank
-FROM customer
-LEFT JOIN (SELECT o_custkey, SUM(o_totalprice) AS lifetime_value, COUNT(*) AS order_count FROM orders GROUP BY 1) o
-  ON c_custkey = o.o_custkey
-LEFT JOIN nation ON c_nationkey = n_nationkey""")
-
+WITH people AS (
+  SELECT c_custkey, c_name, n_name AS state, COALESCE(spent, 0) AS lifetime_value, COALESCE(order_count, 0) AS order_count,
+    1 + CAST(c_acctbal > 2500 AS INT) + CAST(c_acctbal > 5000 AS INT) + CAST(c_acctbal > 7500 AS INT) AS credit_score
+  FROM customer LEFT JOIN {SPENT} o ON c_custkey = o_custkey LEFT JOIN nation ON c_nationkey = n_nationkey),
+tiers(tier, over_, upto, points) AS (VALUES ('BRONZE', -1.0, 1e5, 10), ('SILVER', 1e5, 5e5, 40), ('GOLD', 5e5, 1e6, 70), ('PLATINUM', 1e6, 1e300, 100))
+SELECT c_custkey, c_name, state, lifetime_value, order_count, tier, credit_score,
+  DENSE_RANK() OVER (PARTITION BY state ORDER BY lifetime_value DESC) AS state_rank,
+  {rhu('credit_score * 30 + lifetime_value / 1000 + points', 2)} AS ltv_score
+FROM people JOIN tiers ON lifetime_value > over_ AND lifetime_value <= upto""")
+
+LINES = f"(SELECT *, {QN} AS quarter_name, {CAT} AS category, p_size AS class, l_quantity * p_retailprice AS line_value FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey WHERE year(l_shipdate) = 1998)"
 final("wl_quarterly_valuation", f"""
-SELECT quarter_name, r_name, total_value, suppliers, max_running_value,
-  RANK() OVER (PARTITION BY r_name ORDER BY total_value DESC) AS value_rank
-FROM (SELECT quarter_name, SUM(quarter_value) AS total_value, COUNT(*) AS suppliers, MAX(running_value) AS max_running_value
-      FROM (SELECT *, SUM(quarter_value) OVER (PARTITION BY l_suppkey ORDER BY quarter_name
-                                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_value
-            FROM (SELECT l_suppkey, {QN} AS quarter_name, SUM(l_quantity * p_retailprice) AS quarter_value,
-                         COUNT(DISTINCT l_partkey) AS unique_items
-                  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2) q) r
-      GROUP BY quarter_name) pq
-CROSS JOIN (SELECT r_name FROM region) rg""")
+WITH lines AS (SELECT *, SUM(line_value) OVER (PARTITION BY quarter_name, s_suppkey ORDER BY category, class, l_orderkey, l_linenumber
+                                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+               FROM {LINES} l WHERE month(l_shipdate) <= 3),
+sums AS (SELECT quarter_name, s_suppkey, s_name, s_nationkey, category, COUNT(*) AS record_count, {rhu('SUM(line_value)', 2)} AS total_value,
+           AVG(line_value) AS avg_line_value, MAX(upto) AS max_cumulative, COUNT(DISTINCT p_brand) AS brand_count,
+           COUNT(*) FILTER (l_quantity < 5) AS zero_stock_records
+         FROM lines GROUP BY ALL)
+SELECT quarter_name, s_name, n_name AS supplier_state, category, r_name, record_count, total_value, avg_line_value, max_cumulative,
+  brand_count, zero_stock_records, {rhu('zero_stock_records * 100.0 / record_count', 2)} AS zero_stock_pct,
+  RANK() OVER (PARTITION BY quarter_name ORDER BY total_value DESC) AS value_rank
+FROM sums LEFT JOIN nation ON s_nationkey = n_nationkey CROSS JOIN region""")
 
 final("wl_burst_health", f"""
-SELECT s_name, category, total_qty, RANK() OVER (PARTITION BY s_name ORDER BY total_qty DESC) AS qty_rank
-FROM (SELECT s_name, {CAT} AS category, SUM(l_quantity) AS total_qty
-      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2) g""")
+SELECT *, RANK() OVER (PARTITION BY s_name ORDER BY total_qty DESC) AS qty_rank, {rhu('stockout_count * 100.0 / total_records', 2)} AS stockout_pct
+FROM (SELECT s_name, {CAT} AS category, SUM(l_quantity) AS total_qty, COUNT(*) FILTER (l_quantity < 5) AS stockout_count,
+        COUNT(*) AS total_records, STDDEV_SAMP(l_quantity) AS qty_stddev
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
+      WHERE year(l_shipdate) IN (1997, 1998) GROUP BY 1, 2) g""")
 
 final("wl_burst_volatility", f"""
 SELECT l_partkey, l_suppkey, l_shipdate, l_orderkey, l_linenumber, l_quantity,
@@ -119,18 +124,18 @@ FROM lineitem
 ORDER BY volatility_30day DESC NULLS LAST, l_partkey, l_suppkey, l_shipdate, l_orderkey, l_linenumber
 LIMIT {WL.TOP_SIGNALS}""")
 
-final("wl_burst_loyalty", """
-SELECT c_custkey, c_mktsegment, o.order_count, o.last_order,
-  DENSE_RANK() OVER (PARTITION BY c_mktsegment ORDER BY o.order_count DESC NULLS LAST) AS loyalty_rank
-FROM customer LEFT JOIN (SELECT o_custkey, COUNT(*) AS order_count, MAX(o_orderdate) AS last_order FROM orders GROUP BY 1) o
-  ON c_custkey = o.o_custkey""")
+final("wl_burst_loyalty", f"""
+SELECT c_custkey, c_name, n_name AS state, IF(c_acctbal > 5000, 'HIGH', 'LOW') AS credit_rating, c_acctbal, order_count, last_order,
+  CASE WHEN spent > 1000000 AND c_acctbal > 5000 THEN 'PLATINUM' WHEN spent > 500000 THEN 'GOLD' ELSE 'SILVER' END AS loyalty_tier,
+  DENSE_RANK() OVER (PARTITION BY n_name ORDER BY c_acctbal DESC NULLS LAST) AS state_rank
+FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN {SPENT} o ON c_custkey = o_custkey
+WHERE n_name IN ('NATION_0', 'NATION_3', 'NATION_7', 'NATION_12', 'NATION_21')""")
 
 final("wl_burst_valuation", f"""
-SELECT category, quarter_name, weighted_price, total_qty,
-  RANK() OVER (PARTITION BY quarter_name ORDER BY weighted_price DESC) AS price_rank
-FROM (SELECT {CAT} AS category, {QN} AS quarter_name, SUM(l_quantity * p_retailprice) / SUM(l_quantity) AS weighted_price,
-             SUM(l_quantity) AS total_qty
-      FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2) g""")
+SELECT *, RANK() OVER (PARTITION BY quarter_name ORDER BY total_value DESC) AS value_rank
+FROM (SELECT quarter_name, s_name, category, class, {rhu('SUM(line_value)', 2)} AS total_value, COUNT(DISTINCT p_brand) AS brand_count,
+        AVG(l_quantity) AS avg_qty, SUM(line_value) / NULLIF(SUM(l_quantity), 0) AS weighted_avg_price
+      FROM {LINES} l WHERE month(l_shipdate) <= 6 GROUP BY 1, 2, 3, 4) g""")
 
 final("wl_item_stats", f"""
 SELECT {CAT} AS category, p_brand AS class, COUNT(*) AS item_count, AVG(p_retailprice) AS avg_price,

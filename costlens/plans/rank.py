@@ -50,6 +50,33 @@ def global_ntile(df: DataFrame, order: list[Column], buckets: int, out: str) ->
     return numbered.crossJoin(F.broadcast(total)).withColumn(out, tile.cast("long")).drop("_rn", "_total")
 
 
+def rank_within(df: DataFrame, key: str, value: str, out: str, dense: bool = False) -> DataFrame:
+    """RANK (or DENSE_RANK) of ``value``, falling and nulls last, within ``key``.
+
+    For few keys over many rows: a window would sort all rows of a key in one task.
+    Here the distinct (key, value) pairs with their row counts are dealt by range, a
+    running count is taken per range, and the counts of the ranges before are added.
+    ``df`` is checkpointed, so that both of its uses see the same (float) values."""
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    df = df.checkpoint(eager=True)
+    pairs = df.groupBy(F.col(key).alias("_k"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    if dense:
+        pairs = pairs.withColumn("_n", F.lit(1).cast("long"))
+    order = [F.col("_k"), F.col("_v").desc_nulls_last()]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pairs.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    before = F.sum("_n").over(Window.partitionBy("_pid", "_k").orderBy(F.col("_v").desc_nulls_last())
+                              .rowsBetween(Window.unboundedPreceding, -1))
+    sizes = dealt.groupBy("_pid", "_k").agg(F.sum("_n").alias("_size"))
+    offsets = sizes.select(F.col("_pid").alias("_p"), F.col("_k").alias("_key"), F.sum("_size").over(
+        Window.partitionBy("_k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    placed = dealt.withColumn("_before", before).join(
+        offsets, (F.col("_pid") == F.col("_p")) & F.col("_k").eqNullSafe(F.col("_key")))
+    ranks = placed.select("_k", "_v", (F.coalesce("_before", F.lit(0)) + F.coalesce("_off", F.lit(0)) + 1).cast("long").alias(out))
+    return df.join(ranks, df[key].eqNullSafe(ranks["_k"]) & df[value].eqNullSafe(ranks["_v"])).drop("_k", "_v")
+
+
 def exact_percentiles(rows: DataFrame, key: str, value: str, wanted: dict[str, float]) -> DataFrame:
     """Exact interpolated percentiles per ``key``, one column per entry of ``wanted``.
 

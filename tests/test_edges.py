@@ -12,7 +12,7 @@ from costlens.functions.exprs import AsOf
 from costlens.operators import alerts as AL
 from costlens.operators import antipatterns as AP
 from costlens.operators import warehouse as W
-from costlens.plans.rank import global_ntile, global_row_number
+from costlens.plans.rank import global_ntile, global_row_number, rank_within
 
 T0 = datetime(2024, 1, 10, 0, 0)
 
@@ -89,6 +89,21 @@ def test_global_row_number_and_ntile(spark):
     assert tiles.join(ref, "id").filter(F.col("tile") != F.col("ref")).count() == 0
 
 
+@pytest.mark.parametrize("dense", [False, True])
+def test_rank_within_equals_a_window(spark, dense):
+    # a hot key, a null key, null values and ties, over more ranges than keys
+    from pyspark.sql import Window
+    df = spark.range(0, 2000).selectExpr(
+        "id", "CASE WHEN id % 3 > 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE 'k' || id % 5 END AS k",
+        "CASE WHEN id % 11 = 0 THEN NULL ELSE (id * 7919 % 301) / 4.0D END AS v")
+    w = Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last())
+    ref = df.withColumn("ref", (F.dense_rank() if dense else F.rank()).over(w))
+    got = rank_within(df, "k", "v", "r", dense=dense)
+    assert got.columns == ["id", "k", "v", "r"] and got.count() == 2000
+    assert got.join(ref.select("id", "ref"), "id").filter(F.col("r") != F.col("ref")).count() == 0
+    assert rank_within(df.limit(0), "k", "v", "r", dense=dense).count() == 0
+
+
 ALERT_SCHEMA = ("alert_id string, detected_at timestamp_ntz, resource_key string, metric_value double, "
                 "threshold_value double, details_json string")
 
