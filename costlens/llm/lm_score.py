@@ -1,16 +1,17 @@
 """Cross-entropy difference of a target and a background n-gram model.
 
 Tokens are UTF-8 bytes, one shared vocabulary of 256 symbols. Target: documents
-labelled of good quality and not toxic. Background, matched in size: of the other
-documents those whose doc_id hash lies below the ratio of target bytes to other
-bytes. Trigrams of both are counted over whole texts, per task first, then summed
+labelled of good quality and not toxic. Background: every other document, its
+counts scaled down to the target's total where they exceed it, so that smoothing
+weighs alike in both; no text is left out. Trigrams of both are counted over whole
+texts, per task first, then summed
 by code. Both models smooth alike, each order towards the next lower one with
 WEIGHT pseudo counts and the lowest towards the uniform distribution. A document's
 losses are its mean negative log probabilities per byte; ce_diff is the target loss
 less the background loss, low for text like the target.
 
-The counts cover the corpus and grow with it; the model that is broadcast has at
-most 2^24 codes whatever the corpus.
+The counts cover the corpus; the model that is broadcast has at most 2^24 codes
+whatever the corpus.
 
 Null or empty text: no tokens, losses and difference null. A label with a null
 doc_id is left out; a doc_id labelled twice is target if every label allows it. No
@@ -93,23 +94,22 @@ def _score(model):
 
 
 def roles(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text and target (boolean) of the documents that train a model."""
+    """text and target (boolean) of every document."""
     good = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("good_id")).agg(
         F.min((F.coalesce("quality", F.lit(0)) == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good")).filter("good").select("good_id", F.lit(True).alias("target"))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    sizes = rows.select("doc_id", F.octet_length("text").alias("size")).join(good.hint("shuffle_hash"), F.col("doc_id") == F.col("good_id"), "left")
-    a, b = sizes.agg(F.sum(F.when(F.col("target"), F.col("size")).otherwise(0)), F.sum(F.when(F.col("target"), 0).otherwise(F.col("size")))).first()
-    ratio = min(1.0, (a or 0) / b) if b else 0.0
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(ratio * (1 << 30))
     marked = rows.join(good.hint("shuffle_hash"), rows["doc_id"] == good["good_id"], "left")  # one way at every size
-    return marked.select("text", F.coalesce("target", F.lit(False)).alias("target"), drawn.alias("drawn")).filter("target OR drawn").select("text", "target")
+    return marked.select("text", F.coalesce("target", F.lit(False)).alias("target"))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """code, target, background: counts of every trigram met in either role."""
+    """code, target_n, background_n of every trigram; the background's counts are
+    scaled."""
     counts = roles(docs, labels).mapInArrow(_count, "target boolean, code int, n long")
     side = lambda t: F.coalesce(F.sum(F.when(F.col("target") == t, F.col("n"))), F.lit(0).cast("long"))
-    return cut(counts.groupBy("code").agg(side(True).alias("target_n"), side(False).alias("background_n")), "trigrams")
+    counted = cut(counts.groupBy("code").agg(side(True).alias("target_n"), side(False).alias("background_n")), "trigrams")
+    a, b = counted.agg(F.sum("target_n"), F.sum("background_n")).first()
+    return counted.withColumn("background_n", F.col("background_n") * F.lit(min(1.0, a / b) if b else 1.0))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:

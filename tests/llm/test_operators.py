@@ -381,6 +381,19 @@ def test_lm_score(spark, docs, rows):
     assert lm_score.score(no_rows(spark), labels).count() == 0
 
 
+def test_lm_score_counts_every_document(spark, docs, rows):
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 40, 8)], "doc_id long, quality int, toxic int")
+    counted, size = {True: Counter(), False: Counter()}, Counter()
+    for i, t, *_ in rows:
+        role = i is not None and i < 40 and i % 8 == 0
+        counted[role].update(lm_score.codes(t or "").tolist())
+        size[role] += len((t or "").encode())
+    train = lm_score.train(docs, labels).collect()
+    scale = size[True] / size[False]
+    assert scale < 0.5 and {r.code: r.target_n for r in train if r.target_n} == dict(counted[True])
+    assert {r.code: round(r.background_n / scale, 6) for r in train if r.background_n} == dict(counted[False])
+
+
 def test_lm_score_tells_held_out_quality(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     held = labels.filter("doc_id % 2 = 0").select("doc_id", "quality").toPandas().set_index("doc_id")["quality"]
