@@ -383,10 +383,11 @@ def remove_repeats(docs: DataFrame, pool: int = POOL, collected: int = COLLECTIO
     chosen = firsts.select("id", "turn", "digest")
     texts = rows.select("id", "digest", "text")
 
-    met = texts.join(chosen.hint("shuffle_hash"), ["id", "digest"]).select("id", "turn", "text").mapInArrow(_find_anchors, ANCHOR)
+    # Sorted, so that a task run again makes the same batches, routes and keys.
+    met = texts.join(chosen.hint("shuffle_hash"), ["id", "digest"]).select("id", "turn", "text").sortWithinPartitions("id", "turn").mapInArrow(_find_anchors, ANCHOR)
     met = met.repartition("route").sortWithinPartitions("route").mapInArrow(_repeated, "id long, turn int, place long")
     places = met.groupBy("id", "turn").agg(F.collect_list("place").alias("places")).join(chosen, ["id", "turn"])
-    pieces = texts.join(places.hint("shuffle_hash"), ["id", "digest"]).select("id", "turn", "text", "places").mapInArrow(_cut_segments, _PIECE_TYPE)
+    pieces = texts.join(places.hint("shuffle_hash"), ["id", "digest"]).select("id", "turn", "text", "places").sortWithinPartitions("id", "turn").mapInArrow(_cut_segments, _PIECE_TYPE)
     found = _compared(pieces, BLOCKS[1], pool, collected)
     ranges = found.filter("NOT later")
     for width in (BLOCKS[2], 0):  # parts of one window are equal under one key and never pool

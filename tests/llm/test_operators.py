@@ -425,6 +425,24 @@ def test_column_bwt(spark, docs, rows, pool, collected):
     assert got(column_bwt.remove_repeats(docs, pool, collected)) == plain_repeats(rows)
 
 
+@pytest.mark.parametrize("name", ["_find_anchors", "_cut_segments"])
+def test_column_bwt_tasks_read_in_one_order(spark, docs, rows, monkeypatch, name):
+    run = getattr(column_bwt, name)
+
+    def checked(batches):
+        def through():
+            last = (-1, -1)
+            for b in batches:
+                for at in zip(b["id"].to_pylist(), b["turn"].to_pylist(), strict=True):
+                    assert last <= at
+                    last = at
+                yield b
+        yield from run(through())
+
+    monkeypatch.setattr(column_bwt, name, checked)
+    assert got(column_bwt.remove_repeats(docs.orderBy(F.rand(3)))) == plain_repeats(rows)
+
+
 def test_column_bwt_edges(spark):
     assert column_bwt.remove_repeats(no_rows(spark)).count() == 0
     data = [(1, "q" * 99), (2, "q" * 99), (3, "q" * 350), (4, "é" * 60 + "ü" * 60), (5, "x" + "é" * 60 + "ü" * 60), (1, "other " * 40)]
