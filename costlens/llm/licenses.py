@@ -5,9 +5,12 @@ vectors of term counts times inverse document frequencies, compared with the
 vectors of all templates. Frequencies of the template terms are counted over the
 whole corpus; any other term has the frequency zero, the highest weight. A line
 can only reach the threshold if the terms it shares with templates carry that share
-of its length, which clears most lines before any cosine. The best template of at
-least MIN_COSINE is the document's own licence. A document of at most FILE_WORDS
-words with a licence counts as a licence file and speaks for its directory, the
+of its length, which clears most lines before any cosine. The text itself is also
+compared with the full licence texts. The best full text of at least MIN_COSINE, or
+else the best template, is the document's own licence. A document with a licence is
+a licence file, whatever its length, if it is near a full text, if its name says so,
+or if most of its terms lie in the matched lines; and so is any of at most FILE_WORDS
+words. Licence files speak for their directory, the
 best cosine first, then the smallest doc_id. A document without a licence takes
 that of its nearest ancestor directory, by a join of the distinct directories'
 ancestors with the licensed ones.
@@ -26,9 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlens.llm.common import cut, text_of
+from costlens.llm.licence_texts import TEXTS
 
 MIN_COSINE = 0.8
 FILE_WORDS = 60
+FILE_NAME = r"^((un)?licen[cs]e|copying)(-[a-z0-9]+([.][0-9]+)*)?([.](txt|md|rst|html?|lesser|lib))?$"
 
 #: Identifiers and the wording of public licence notices.
 TEMPLATES = (
@@ -40,6 +45,10 @@ TEMPLATES = (
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
@@ -62,6 +71,8 @@ def terms(text: str) -> list[str]:
 
 
 VOCABULARY = frozenset(t for _, text in TEMPLATES for t in terms(text))
+#: The terms of the full texts, for whole documents only: lines share too many of them.
+FULL_VOCABULARY = VOCABULARY.union(t for _, text in TEXTS for t in terms(text))
 
 
 class Matcher:
@@ -69,13 +80,30 @@ class Matcher:
 
     def __init__(self, frequency: dict[str, int], n_docs: int):
         weight = lambda f: math.log((1 + n_docs) / (1 + f)) + 1
-        self.weight = {t: weight(frequency.get(t, 0)) for t in VOCABULARY}
+        self.weight = {t: weight(frequency.get(t, 0)) for t in FULL_VOCABULARY}
         self.other = weight(0)
-        self.templates = []
-        for name, text in TEMPLATES:
+        self.templates, self.full = self._vectors(TEMPLATES), self._vectors(TEXTS)
+
+    def _vectors(self, texts) -> list[tuple[str, dict[str, float]]]:
+        out = []
+        for name, text in texts:
             vector = {t: c * self.weight[t] for t, c in Counter(terms(text)).items()}
             size = math.sqrt(sum(x * x for x in vector.values()))
-            self.templates.append((name, {t: x / size for t, x in vector.items()}))
+            out.append((name, {t: x / size for t, x in vector.items()}))
+        return out
+
+    def whole(self, words: list[str]) -> tuple[float, str | None]:
+        """The same against the full texts, of all words of a document."""
+        counts = Counter(words)
+        vector = {t: c * self.weight[t] for t, c in counts.items() if t in FULL_VOCABULARY}
+        own = sum(x * x for x in vector.values())
+        rest = sum(c * c for t, c in counts.items() if t not in FULL_VOCABULARY) * self.other**2
+        if not own or own < MIN_COSINE**2 * (own + rest):
+            return 0.0, None
+        size = math.sqrt(own + rest)
+        near = [(sum(x * v.get(t, 0.0) for t, x in vector.items()) / size, name) for name, v in self.full]
+        score, name = min(near, key=lambda n: (-n[0], n[1]))
+        return (score, name) if score >= MIN_COSINE else (0.0, None)
 
     def best(self, words: list[str]) -> tuple[float, str | None]:
         """The highest cosine of at least MIN_COSINE, and its template's name."""
@@ -92,15 +120,19 @@ class Matcher:
         score, name = min(near, key=lambda n: (-n[0], n[1]))
         return (score, name) if score >= MIN_COSINE else (0.0, None)
 
-    def scan(self, text: str) -> tuple[float, str | None, int]:
-        """Best cosine and licence over the text, its lines and pairs of lines, and
-        the number of terms."""
+    def scan(self, text: str) -> tuple[float, str | None, int, bool]:
+        """Best cosine and licence over the text, its lines and pairs of lines, the
+        number of terms, and whether most of them belong to the licence."""
         lines = [w for w in map(terms, text.split("\n")) if w]
-        found = [self.best([w for line in lines for w in line])] if len(lines) > 2 else []
-        found += [self.best(line) for line in lines] + [self.best(a + b) for a, b in zip(lines, lines[1:])]
+        words = [w for line in lines for w in line]
+        score, name = self.whole(words)
+        if name:
+            return score, name, len(words), True
+        found = [(*self.best(words), len(words))] if len(lines) > 2 else []
+        found += [(*self.best(span), len(span)) for span in (*lines, *(a + b for a, b in zip(lines, lines[1:])))]
         found = [f for f in found if f[0] >= MIN_COSINE]
-        score, name = min(found, key=lambda f: (-f[0], f[1])) if found else (0.0, None)
-        return score, name, sum(map(len, lines))
+        score, name, size = min(found, key=lambda f: (-f[0], f[1], -f[2])) if found else (0.0, None, 0)
+        return score, name, len(words), 2 * size > len(words)
 
 
 def frequencies(docs: DataFrame) -> DataFrame:
@@ -109,24 +141,24 @@ def frequencies(docs: DataFrame) -> DataFrame:
         for b in batches:
             n = Counter({"": b.num_rows})
             for text in b["text"].to_pylist():
-                n.update(VOCABULARY.intersection(terms(text)))
+                n.update(FULL_VOCABULARY.intersection(terms(text)))
             yield pa.record_batch([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["term", "n"])
 
     return docs.select(text_of(docs).alias("text")).mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def own_licences(docs: DataFrame) -> DataFrame:
-    """doc_id, path, own (licence or null), score, n_terms of every row."""
+    """doc_id, path, own (licence or null), score, n_terms, most of every row."""
     counted = {r["term"]: r["n"] for r in frequencies(docs).collect()}  # one row per template term
     matcher = Matcher(counted, counted.get("", 0))
 
     def run(batches):
         for b in batches:
             got = [matcher.scan(t) for t in b["text"].to_pylist()]
-            yield pa.record_batch([b["doc_id"], b["path"], pa.array([g[1] for g in got], pa.string()), pa.array([g[0] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.int64())], names=["doc_id", "path", "own", "score", "n_terms"])
+            yield pa.record_batch([b["doc_id"], b["path"], pa.array([g[1] for g in got], pa.string()), pa.array([g[0] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.int64()), pa.array([g[3] for g in got], pa.bool_())], names=["doc_id", "path", "own", "score", "n_terms", "most"])
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["path"].cast("string").alias("path"), text_of(docs).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, path string, own string, score double, n_terms long")
+    return rows.mapInArrow(run, "doc_id long, path string, own string, score double, n_terms long, most boolean")
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -134,7 +166,8 @@ def scan(docs: DataFrame) -> DataFrame:
     inherited_from (directory or null), licence."""
     folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
     rows = cut(own_licences(docs).withColumn("folder", folder), "licences")
-    files = rows.filter((F.col("own").isNotNull()) & (F.col("n_terms") <= FILE_WORDS) & F.col("folder").isNotNull())
+    named = F.lower(F.regexp_extract("path", r"([^/]*)$", 1)).rlike(FILE_NAME)
+    files = rows.filter(F.col("own").isNotNull() & (named | F.col("most") | (F.col("n_terms") <= FILE_WORDS)) & F.col("folder").isNotNull())
     first = F.min(F.struct((-F.col("score")).alias("s"), F.col("doc_id"), F.col("own").alias("licence")))
     ruled = files.groupBy("folder").agg(first.alias("f")).select(F.col("folder").alias("above"), F.col("f.licence").alias("licence"))
     parts = F.split("folder", "/")

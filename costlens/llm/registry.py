@@ -35,9 +35,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents lie in directories source/lang/doc_id by thousands."""
+    """The documents lie in directories source/lang/doc_id by thousands, and the first
+    hundred of a thousand in one of those above, by turns."""
     docs = table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string"))
+    thousand, place = F.floor(F.col("doc_id") / 1000).cast("string"), F.pmod(F.col("doc_id"), F.lit(1000))
+    depth = F.when(place >= 100, 3).otherwise(F.coalesce(1 + place % 2, F.lit(3)))
+    path = F.concat_ws("/", "source", F.when(depth > 1, F.col("lang")), F.when(depth > 2, thousand), F.col("doc_id").cast("string"))
     return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
 
 

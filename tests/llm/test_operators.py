@@ -344,6 +344,26 @@ def test_licences(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, path string, text string")).count() == 0
 
 
+def test_licence_files_of_full_length(spark):
+    filler = "\n".join("plain invented wording line number %d of this text" % i for i in range(40))
+    full = dict(licenses.TEXTS)
+    agpl = "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007\n" + full["AGPL-3.0"][200:]
+    data, want = [], {}
+    for k, (name, text) in enumerate({**full, "AGPL-3.0": agpl}.items()):
+        assert len(licenses.terms(text)) > licenses.FILE_WORDS
+        text = "Copyright (c) 2020 Somebody Else\n" + text
+        data += [(3 * k, f"r{k}/legal.txt", text), (3 * k + 1, f"r{k}/x.py", filler), (3 * k + 2, f"r{k}/a/b/y.py", filler)]
+        want |= {3 * k: (name, None, name), 3 * k + 1: (None, f"r{k}", name), 3 * k + 2: (None, f"r{k}", name)}
+    notice = filler + "\nLicensed under the ISC License.\n"
+    data += [(100, "n/COPYING", notice), (101, "n/a/x.py", filler), (102, "m/code.py", notice), (103, "m/x.py", filler)]
+    want |= {100: ("ISC", None, "ISC"), 101: (None, "n", "ISC"), 102: ("ISC", None, "ISC"), 103: (None, None, None)}
+    header = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License\nas published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    data.append((104, "g/x.py", header + "\n" + filler))
+    want[104] = ("GPL-2.0", None, "GPL-2.0")
+    out = licenses.scan(spark.createDataFrame(data, "doc_id long, path string, text string")).collect()
+    assert {r.doc_id: (r.own, r.inherited_from, r.licence) for r in out} == want
+
+
 # --- op8
 
 def test_lm_score(spark, docs, rows):
