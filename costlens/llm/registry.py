@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from costlens.llm import bpe_tree, column_bwt, exact_dedup, licenses, lm_score, packing, quality_rules, secret_ledger, simhash, token_frames
-from costlens.llm.common import table
+from costlens.llm import bpe_tree, column_bwt, differencing, exact_dedup, licenses, lm_score, packing, quality_rules, run_detection, secret_ledger, simhash, token_frames, whitening
+from costlens.llm.common import table, text_of
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +56,39 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_frames, op3_best_fit_packing, op4_simhash, op5_bpe_tree, op6_exact_dedup, op7_licences, op8_lm_score, op9_column_bwt, op10_secret_ledger)}
+def op11_kk_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return differencing.assign(table(spark, sf_dir, "documents"), shards=40)
+
+
+def repeated(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where the documents whose id hashes to a multiple of ten repeat
+    a stretch of their words up to the end. A null id changes nothing."""
+    h = F.crc32(docs["doc_id"].cast("string").cast("binary"))
+    chosen = (h % 10 == 0) & text_of(docs).rlike("[^ \t\n\x0b\f\r]")
+    words = F.array_remove(F.split(text_of(docs), "[ \t\n\x0b\f\r]+"), "")
+    rows = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"), F.when(chosen, words).alias("w"), F.floor(h / 10).alias("g"))
+    rows = rows.select("doc_id", "text", "w", "g", F.size("w").cast("long").alias("n"), (F.col("g") % F.size("w")).alias("a"))
+    rows = rows.select("*", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).alias("p"))
+    more = F.expr("concat(slice(w, 1, int(a)), slice(flatten(array_repeat(slice(w, int(a) + 1, int(p)), int(ceil((n - a) / p)))), 1, int(n - a)))")
+    return rows.select("doc_id", F.when(F.col("w").isNull(), F.col("text")).otherwise(F.concat_ws(" ", more)).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = run_detection.find(repeated(table(spark, sf_dir, "documents")))
+    longest = F.expr("reduce(runs, cast(null as struct<start:long,length:long,period:long>), (a, b) -> if(a is null or b.length > a.length, b, a))")
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))))
+    rows = found.withColumn("longest", longest)
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "longest.start", "longest.length", "longest.period",
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), wanted=8)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_frames, op3_best_fit_packing, op4_simhash, op5_bpe_tree, op6_exact_dedup, op7_licences, op8_lm_score, op9_column_bwt, op10_secret_ledger, op11_kk_shards, op12_periodic_runs, op13_feast_whitening)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 _OP6 = """
