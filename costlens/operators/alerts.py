@@ -224,10 +224,14 @@ def alert_state_tracker(union: DataFrame, previous: DataFrame | None, as_of: AsO
     e = e.withColumn("alert_episode_key", F.concat(F.col("alert_id"), F.lit("_episode_"),
                                                    F.col("episode_number").cast("string"), F.lit("_"),
                                                    F.col("resource_key")))
-    e = _latest(e, ["alert_episode_key"], latest_order())
-    return e.select("alert_episode_key", "alert_id", "detected_at", "resource_key", "alert_resource_key",
-                    "metric_value", "threshold_value", "details_json", "is_new_episode", "is_continuation",
-                    "episode_number", now.alias("evaluated_at"))
+    return one_per_episode(e.withColumn("evaluated_at", now))
+
+
+def one_per_episode(episodes: DataFrame) -> DataFrame:
+    """The latest row of each episode key, a null key being one."""
+    return _latest(episodes, ["alert_episode_key"], latest_order()).select(
+        "alert_episode_key", "alert_id", "detected_at", "resource_key", "alert_resource_key", "metric_value",
+        "threshold_value", "details_json", "is_new_episode", "is_continuation", "episode_number", "evaluated_at")
 
 
 def _fact(title: str, value: Column) -> Column:

@@ -1,15 +1,17 @@
 """Data-quality checks.
 
 Generic checks (not null, unique, accepted values, relationships,
-non-negative) report one row per check with its failure count; all null, range and
-value checks of a table are one aggregate over it, then an unpivot. Singular checks return the violating rows, as the assertions do.
+non-negative) report one row per check with its failure count. The null, range and
+value checks of a model are counted while it is written (``Pipeline.published``), those
+of other tables by one aggregate each; the keys of all tables are counted in one
+grouping. Singular checks return the violating rows, as the assertions do.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlens.functions.exprs import AsOf
@@ -104,31 +106,49 @@ FRESHNESS_WARN_HOURS, FRESHNESS_ERROR_HOURS = 24, 48
 CHECK_COLS = ["check_type", "table_name", "column_name", "failures"]
 
 
-def column_report(frames: Callable[[str], DataFrame], spec=None) -> DataFrame:
-    """Null, range and value checks: one aggregate per table for all of them,
-    unpivoted."""
-    parts = []
+Check = tuple[str, str]  # its kind and column
+
+
+def conditions(checks: dict) -> dict[Check, Column]:
+    """What a row violates, for the null, range and value checks of a table."""
+    out = {("not_null", c): F.col(c).isNull() for c in checks.get("not_null", ())}
+    out |= {("non_negative", c): F.col(c) < 0 for c in checks.get("non_negative", ())}
+    return out | {("accepted_values", c): F.col(c).isNotNull() & ~F.col(c).isin(*v) for c, v in checks.get("accepted", {}).items()}
+
+
+def column_report(frames: Callable[[str], DataFrame], spec=None, observed: Callable[[str], dict[Check, int] | None] = lambda t: None) -> DataFrame:
+    """Null, range and value checks. ``observed`` has the counts of a table that was
+    written with them; any other table is aggregated once for all of its checks."""
+    parts, known, spark = [], [], None
     for table, checks in (spec or CHECKS).items():
-        conds = {("not_null", c): F.col(c).isNull() for c in checks.get("not_null", ())}
-        conds |= {("non_negative", c): F.col(c) < 0 for c in checks.get("non_negative", ())}
-        conds |= {("accepted_values", c): F.col(c).isNotNull() & ~F.col(c).isin(*v) for c, v in checks.get("accepted", {}).items()}
+        conds = conditions(checks)
+        counts = observed(table)
         if not conds:
             continue
+        if counts is not None:
+            known += [(kind, table, c, counts[kind, c]) for kind, c in conds]
+            spark = spark or frames(table).sparkSession
+            continue
         agg = frames(table).agg(*[F.count_if(x).alias(f"c{i}") for i, x in enumerate(conds.values())])
         pairs = ", ".join(f"'{kind}', '{c}', c{i}" for i, (kind, c) in enumerate(conds))
         parts.append(agg.selectExpr(f"'{table}' AS table_name", f"stack({len(conds)}, {pairs}) AS (check_type, column_name, failures)"))
+    if known:
+        parts.append(spark.createDataFrame(known, "check_type string, table_name string, column_name string, failures long"))
     return _union(parts)
 
 
 def unique(frames: Callable[[str], DataFrame], spec=None) -> DataFrame:
-    """Keys that occur more than once; a NULL key counts as one key."""
-    parts = []
-    for t, checks in (spec or CHECKS).items():
-        for key in checks.get("unique", ()):
-            dup = frames(t).groupBy(key).count().filter(F.col("count") > 1)
-            parts.append(dup.agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit("unique").alias("check_type"), F.lit(t).alias("table_name"), F.lit(key).alias("column_name"), "failures"))
-    return _union(parts)
+    """Keys that occur more than once; a null key counts as one key. The keys of all
+    tables go through one grouping, told apart by the number of their check."""
+    checks = [(t, key) for t, c in (spec or CHECKS).items() for key in c.get("unique", ())]
+    keys = None
+    for n, (t, key) in enumerate(checks):
+        one = frames(t).select(F.lit(n).alias("check"), F.col(key).cast("string").alias("key"))
+        keys = one if keys is None else keys.unionByName(one)
+    doubled = keys.groupBy("check", "key").count().filter(F.col("count") > 1).groupBy("check").agg(F.count(F.lit(1)).alias("doubled"))
+    named = keys.sparkSession.createDataFrame([(n, t, key) for n, (t, key) in enumerate(checks)], "check int, table_name string, column_name string")
+    return _union([named.join(doubled, "check", "left").select(
+        F.lit("unique").alias("check_type"), "table_name", "column_name", F.coalesce("doubled", F.lit(0)).alias("failures"))])
 
 
 def relationships(links: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:

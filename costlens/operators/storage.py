@@ -24,12 +24,33 @@ def _fqn() -> F.Column:
 
 
 def last_access(access: DataFrame) -> DataFrame:
-    """Latest read per object name over the nested accessed-object arrays.
-    ``explode`` drops empty and NULL arrays; partial aggregation keeps one row
-    per object per task before the shuffle."""
-    return (access.select("query_start_time", F.explode("base_objects_accessed").alias("o"))
-            .groupBy(F.col("o.objectName").alias("full_table_name"))
-            .agg(F.max("query_start_time").alias("last_read_date")))
+    """Latest read per object name. ``access`` has the read objects of a query nested,
+    as structs or as JSON text, or one object per row (``object_name``). Queries without
+    objects give no row, as a flatten of their empty lists; so do JSON texts that are not
+    valid, and elements without a name. Partial aggregation keeps one row per object and
+    task before the shuffle."""
+    types = dict(access.dtypes)
+    if "object_name" in types:
+        reads = access.select("query_start_time", F.col("object_name").alias("full_table_name"))
+    elif types["base_objects_accessed"] in ("string", "variant"):
+        reads = _json_reads(access)
+    else:
+        reads = access.select("query_start_time", F.explode("base_objects_accessed").alias("o")).select(
+            "query_start_time", F.col("o.objectName").alias("full_table_name"))
+    return reads.groupBy("full_table_name").agg(F.max("query_start_time").alias("last_read_date"))
+
+
+def _json_reads(access: DataFrame) -> DataFrame:
+    """The reads of an access history that came as JSON, by a lateral join with the
+    elements of each list."""
+    objects = F.col("base_objects_accessed")
+    if dict(access.dtypes)["base_objects_accessed"] == "string":
+        access = access.select("query_start_time", F.try_parse_json(objects).alias("objects"))
+    else:
+        access = access.select("query_start_time", objects.alias("objects"))
+    each = access.sparkSession.tvf.variant_explode(F.col("objects").outer())
+    return access.lateralJoin(each).select(
+        "query_start_time", F.try_variant_get("value", "$.objectName", "string").alias("full_table_name")).filter("full_table_name IS NOT NULL")
 
 
 def storage_breakdown(tables: DataFrame, access: DataFrame, as_of: AsOf) -> DataFrame:

@@ -55,7 +55,10 @@ def idle_islands(util: DataFrame, split_on_gap: bool = False) -> DataFrame:
 
 
 def idle_warehouse_periods(util: DataFrame, price: DataFrame, split_on_gap: bool = False) -> DataFrame:
-    isl = idle_islands(util, split_on_gap)
+    return idle_costs(idle_islands(util, split_on_gap), price)
+
+
+def idle_costs(isl: DataFrame, price: DataFrame) -> DataFrame:
     secs = X.seconds_between("idle_start", "idle_end")
     # 1 credit per hour whatever the size (the model's stated assumption)
     out = isl.crossJoin(F.broadcast(price)).select(

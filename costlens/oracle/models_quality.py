@@ -105,3 +105,11 @@ final("seed_load", " UNION ALL ".join(
     f"SELECT '{s}' AS seed_name, (SELECT count(*) FROM seed_{s}) AS row_count, {n} AS column_count, "
     + (f"(SELECT count(*) {_USED[s]})" if s in _USED else "0") + " AS matched_rows" for s, n in _SEEDS.items()))
 final("upsert_versions", FINAL["upsert"])
+
+# the streams end with the state of the batch models; the file stream drops what came ten days late
+final("incremental_stream", f"""SELECT * FROM stg_query_history
+WHERE NOT (CAST(substr(query_id, 2) AS BIGINT) % 7 = 0 AND end_time < {NOW} - INTERVAL 24 DAY)""")
+final("upsert_days", FINAL["upsert"])
+final("episode_stream", "SELECT * FROM alert_state_carried")
+final("idle_island_stream", "SELECT * FROM idle_warehouse_periods")
+final("storage_breakdown_json", "SELECT * FROM storage_breakdown")

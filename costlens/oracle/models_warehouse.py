@@ -23,7 +23,7 @@ SELECT warehouse_name, min(interval_start) AS idle_start, max(interval_end) AS i
   date_diff('second', min(interval_start), max(interval_end)) / 3600.0 * {PRICE} AS wasted_cost_usd
 FROM (SELECT *, count(*) FILTER (WHERE NOT is_idle) OVER (PARTITION BY warehouse_name ORDER BY interval_start) AS busy_before
       FROM warehouse_utilisation)
-WHERE is_idle GROUP BY warehouse_name, busy_before HAVING idle_duration_minutes >= 1""")
+WHERE is_idle GROUP BY warehouse_name, busy_before HAVING idle_duration_minutes > 0""")
 
 cte("warehouse_queue_analysis", f"""
 SELECT warehouse_name, hour(interval_start) AS hour_of_day, count(*) AS total_intervals,
@@ -32,11 +32,11 @@ SELECT warehouse_name, hour(interval_start) AS hour_of_day, count(*) AS total_in
 FROM warehouse_utilisation GROUP BY ALL""")
 
 cte("warehouse_schedule_analysis", """
-SELECT *, dow_off OR hour NOT BETWEEN 6 AND 19 AS is_off_peak,
+SELECT * EXCLUDE (dow_off), dow_off OR hour NOT BETWEEN 6 AND 19 AS is_off_peak,
   CASE WHEN query_count < 5 AND (dow_off OR hour NOT BETWEEN 6 AND 19) THEN credits_cost ELSE 0 END AS schedulable_savings_usd
 FROM (SELECT warehouse_name, dayofweek(start_time) AS day_of_week, hour(start_time) AS hour, count(*) AS query_count,
         sum(estimated_cost_usd) AS credits_cost, dayofweek(start_time) % 6 = 0 AS dow_off
-      FROM query_cost_attribution GROUP BY ALL)""".replace("SELECT *, dow_off OR", "SELECT * EXCLUDE (dow_off), dow_off OR"))
+      FROM query_cost_attribution GROUP BY ALL)""")
 
 cte("sized_runs", f"FROM stg_query_history WHERE execution_status = 'SUCCESS' AND warehouse_name IS NOT NULL AND {user_work()}")
 cte("size_votes", """

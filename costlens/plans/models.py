@@ -7,6 +7,7 @@ import uuid as _uuid
 from pyspark.sql import functions as _F
 
 from costlens.streaming import incremental as INC
+from costlens.streaming import replays as RP
 from costlens.operators import attribution as A
 from costlens.plans.pipeline import model
 
@@ -77,6 +78,11 @@ def _idle(p):
     return W.idle_warehouse_periods(p["warehouse_utilisation"], p["price"], p.opt("split_on_gap", False))
 
 
+@model("idle_island_stream")
+def _idle_stream(p):
+    return W.idle_costs(RP.closed_islands(p["warehouse_utilisation"]), p["price"])
+
+
 @model("warehouse_queue_analysis")
 def _queue(p):
     return W.warehouse_queue_analysis(p["warehouse_utilisation"])
@@ -137,7 +143,15 @@ from costlens.operators import storage as S  # noqa: E402
 
 @model("storage_breakdown")
 def _sb(p):
-    return S.storage_breakdown(p["stg_table_storage"], p["stg_access_history"], p.as_of)
+    access = p.raw.get("access_reads")
+    return S.storage_breakdown(p["stg_table_storage"], p["stg_access_history"] if access is None else access, p.as_of)
+
+
+@model("storage_breakdown_json")
+def _sbj(p):
+    """From the access history as JSON text, the form in which accounts export it."""
+    access = p["stg_access_history"].select("query_start_time", _F.to_json("base_objects_accessed").alias("base_objects_accessed"))
+    return S.storage_breakdown(p["stg_table_storage"], access, p.as_of)
 
 
 for _key, _fn in (("storage_unused_tables", S.storage_unused_tables),
@@ -239,8 +253,7 @@ model("warehouse_efficiency")(lambda p: PB.warehouse_efficiency(p["warehouse_uti
                                                                 p["query_cost_attribution"]))
 model("team_cost_dashboard")(lambda p: PB.team_cost_dashboard(p["team_cost_attribution"]))
 model("weekly_executive_report")(lambda p: PB.weekly_executive_report(
-    p.checked("daily_cost_rollup"), p.checked("cost_by_warehouse"), p.checked("all_recommendations"),
-    p.checked("alert_state_tracker"), p.as_of))
+    *p.published("daily_cost_rollup", "cost_by_warehouse", "all_recommendations", "alert_state_tracker"), p.as_of))
 model("weekly_report_html")(lambda p: PB.weekly_report_html(p["weekly_executive_report"]))
 
 
@@ -266,11 +279,15 @@ model("alert_union")(lambda p: AL.alert_union([p[k] for k in ALERT_DETECTORS], p
                                               p.seed("bank_holidays"), p.seed("alert_configuration")))
 model("alert_state_tracker")(lambda p: AL.alert_state_tracker(p["alert_union"], p.opt("alert_previous_state"),
                                                               p.as_of))
+def _earlier_clock(p):
+    return _F.expr(p.as_of.ts_sql()) - _F.expr("INTERVAL 2 HOURS")
+
+
 @model("alert_state_earlier")
 def _earlier(p):
     """What a run two hours before this one would have stored: no earlier state, and
     only the alerts detected by then."""
-    then = _F.expr(p.as_of.ts_sql()) - _F.expr("INTERVAL 2 HOURS")
+    then = _earlier_clock(p)
     known = p["alert_union"].filter((_F.col("detected_at") < then) & _F.col("resource_key").isNotNull())
     return AL.alert_state_tracker(known, None, p.as_of).withColumn("evaluated_at", then)
 
@@ -278,6 +295,9 @@ def _earlier(p):
 model("alert_state_carried")(lambda p: AL.alert_state_tracker(p["alert_union"], p["alert_state_earlier"], p.as_of))
 model("alert_history_carried")(lambda p: INC.merge(p["alert_state_earlier"], p["alert_state_carried"], ["alert_episode_key"], AL.latest_order())
                                .select("alert_episode_key", "alert_id", "detected_at", "resource_key", "episode_number", "is_new_episode", "is_continuation", "evaluated_at"))
+model("episode_stream")(lambda p: AL.one_per_episode(RP.episodes_of_last_run([
+    (p["alert_union"].filter((_F.col("detected_at") < _earlier_clock(p)) & _F.col("resource_key").isNotNull()), _earlier_clock(p)),
+    (p["alert_union"], p.as_of.ts_col())])))
 model("alert_payload")(lambda p: AL.alert_payload(p["alert_state_tracker"], p.seed("alert_configuration")))
 model("alert_history")(lambda p: AL.alert_history(p["alert_state_tracker"], p.seed("alert_configuration"),
                                                   p["alert_payload"]))
@@ -341,10 +361,18 @@ for _key, _fn in WL.WORKLOAD.items():
 # -- data quality -----------------------------------------------------------------------
 from costlens.operators import quality as Q  # noqa: E402
 
-model("dq_columns")(lambda p: Q.column_report(p.checked))
+
+
+def _checks(p):
+    """Writes every checked model, at the same time where they do not build on each other."""
+    p.published(*Q.CHECKS)
+    return p
+
+
+model("dq_columns")(lambda p: Q.column_report(_checks(p).checked, observed=p.failures))
 for _kind in ("not_null", "accepted_values", "non_negative"):
     model(f"dq_{_kind}")(lambda p, kind=_kind: p["dq_columns"].filter(_F.col("check_type") == kind))
-model("dq_unique")(lambda p: Q.unique(p.checked))
+model("dq_unique")(lambda p: Q.unique(_checks(p).checked))
 model("dq_relationships")(lambda p: Q.relationships([
     ("alert_suppressions", p.seed("alert_suppressions"), "alert_id", p.seed("alert_configuration"), "alert_id"),
     ("alert_union", p.checked("alert_union"), "alert_id", p.seed("alert_configuration"), "alert_id"),
@@ -373,8 +401,8 @@ model("scan_metering")(lambda p: AC.metering_totals(p["stg_warehouse_metering"])
 model("scan_top_tables")(lambda p: AC.top_tables(p["stg_table_storage"]))
 model("verify_tagged_queries")(lambda p: AC.tagged_queries(p["stg_query_history"], p.as_of))
 model("verify_indicators")(lambda p: AC.indicators(p["stg_query_history"], p.as_of))
-model("verify_recent_metering")(lambda p: AC.recent_metering(p["stg_warehouse_metering"], p.as_of, p.opt("recent_hours", 6)))
-model("verify_publication_counts")(lambda p: AC.publication_counts({t: p.checked(t) for t in AC.PUBLICATION_TABLES}))
+model("verify_recent_metering")(lambda p: AC.recent_metering(p["stg_warehouse_metering"], p.as_of, p.opt("recent_hours", AC.RECENT_HOURS)))
+model("verify_publication_counts")(lambda p: AC.publication_counts(dict(zip(AC.PUBLICATION_TABLES, p.published(*AC.PUBLICATION_TABLES)))))
 
 
 # -- incremental load (N01, N02) ------------------------------------------------------------
@@ -400,3 +428,5 @@ def _upsert_versions(p):
 
 model("upsert")(lambda p: INC.merge(_first_load(p), p["incremental_extract"], ["query_id"],
                                     [_F.col("end_time").desc(), _F.col("_loaded_at").desc()]))
+model("incremental_stream")(lambda p: RP.loaded_history(p["stg_query_history"], p.as_of))
+model("upsert_days")(lambda p: RP.upserted_days(p["stg_query_history"], _first_load(p)))

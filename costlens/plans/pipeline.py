@@ -14,16 +14,23 @@ recover from at scale.
 from __future__ import annotations
 
 import os
+import threading
 import uuid
 from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from costlens.functions.exprs import AsOf
+from costlens.operators import quality
 from costlens.session import checkpoint_root
 from costlens.sources import staging, telemetry
 from costlens.sources.seeds import Config, test_config  # the test copy serves from_testdata alone
 
+#: Models that are written at the same time.
+WRITERS = 8
+
 BUILDERS: dict[str, Callable[["Pipeline"], DataFrame]] = {}
 
 
@@ -44,13 +51,18 @@ class Pipeline:
         self.materialize = set(materialize)
         self.options = dict(options or {})
         self._cache: dict[str, DataFrame] = {}
+        self._models: dict[str, Future] = {}
+        self._lock = threading.Lock()
         self._written: Pipeline | None = None
+        #: Failures of the null, range and value checks of each model that was written, by check.
+        self.observed: dict[str, dict[quality.Check, int]] = {}
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, as_of: AsOf | None = None,
                       config: Config | None = None, **kw) -> "Pipeline":
         as_of = as_of or AsOf()
-        p = cls(spark, telemetry.derive(spark, sf_dir, as_of), as_of, config or test_config(), **kw)
+        raw = telemetry.derive(spark, sf_dir, as_of) | {"access_reads": telemetry.access_reads(spark, sf_dir, as_of)}
+        p = cls(spark, raw, as_of, config or test_config(), **kw)
         p.sf_dir = sf_dir
         return p
 
@@ -64,28 +76,58 @@ class Pipeline:
 
     # -- access ---------------------------------------------------------
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._cache:
-            if name in staging.STAGING:
-                df = staging.project(name, self.raw[staging.STAGING[name][0]], self.as_of)
-            elif name in BUILDERS:
-                df = BUILDERS[name](self)
-            else:
-                raise KeyError(name)
-            if name in self.materialize:
-                df = self._write(name, df)
-            self._cache[name] = df
-        return self._cache[name]
+        with self._lock:
+            future = self._models.get(name)
+            mine = future is None
+            if mine:
+                future = self._models[name] = Future()
+        if mine:
+            try:
+                future.set_result(self._build(name))
+            except BaseException as e:
+                future.set_exception(e)
+                with self._lock:
+                    del self._models[name]
+        return future.result()
+
+    def _build(self, name: str) -> DataFrame:
+        if name in staging.STAGING:
+            df = staging.project(name, self.raw[staging.STAGING[name][0]], self.as_of)
+        elif name in BUILDERS:
+            df = BUILDERS[name](self)
+        else:
+            raise KeyError(name)
+        return self._write(name, df) if name in self.materialize else df
+
+    def published(self, *names: str) -> list[DataFrame]:
+        """Models as written tables: the quality checks and the reports read what a run
+        has published, each model written once from the written ones below it. Up to
+        ``WRITERS`` models are written at the same time; one that needs a model
+        which another thread is writing waits for it."""
+        run = self._run()
+        wanted = [n for n in names if n not in staging.STAGING and not n.startswith("seed_")]
+        with ThreadPoolExecutor(WRITERS) as pool:
+            list(pool.map(run.__getitem__, wanted))
+        return [self.checked(n) for n in names]
+
+    def _run(self) -> Pipeline:
+        """The pipeline that writes all of its models: this one, or one beside it."""
+        if self.materialize.issuperset(BUILDERS):
+            return self
+        with self._lock:
+            if self._written is None:
+                self._written = Pipeline(self.spark, self.raw, self.as_of, self.config, options=self.options, materialize=tuple(BUILDERS))
+            return self._written
 
     def checked(self, name: str) -> DataFrame:
-        """A model as a written table: the quality checks and the reports read what a
-        run has published, each model written once from the written ones below it."""
+        """One published model; a staging or config table as it is."""
         if name.startswith("seed_"):
             return self.seed(name.removeprefix("seed_"))
-        if name in staging.STAGING or name in self.materialize:
-            return self[name]
-        if self._written is None:
-            self._written = Pipeline(self.spark, self.raw, self.as_of, self.config, options=self.options, materialize=tuple(BUILDERS))
-        return self._written[name]
+        return self[name] if name in staging.STAGING else self._run()[name]
+
+    def failures(self, name: str) -> dict[quality.Check, int] | None:
+        """What writing the published model ``name`` has found, None if it was not written."""
+        return self._run().observed.get(name)
 
     def seed(self, name: str) -> DataFrame:
         key = f"seed:{name}"
@@ -97,10 +139,18 @@ class Pipeline:
         return self.options.get(key, default)
 
     def _write(self, name: str, df: DataFrame) -> DataFrame:
-        """Materialise a reused model as parquet under the checkpoint folder."""
+        """Materialise a model as parquet under the checkpoint folder. Its null, range
+        and value checks are counted in the same pass."""
         path = os.path.join(checkpoint_root(self.spark), "models", f"{name}-{uuid.uuid4().hex[:8]}")
+        checks = quality.conditions(quality.CHECKS.get(name, {}))
+        if checks:
+            seen = Observation()
+            df = df.observe(seen, *[F.sum(F.when(c, 1).otherwise(0)).alias(f"c{i}") for i, c in enumerate(checks.values())])
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        if checks:
+            got = seen.get  # a plan without rows has no counts
+            self.observed[name] = {k: got.get(f"c{i}") or 0 for i, k in enumerate(checks)}
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def _register_all():

@@ -12,7 +12,7 @@ and ``{AS_OF_DATE}`` are replaced by typed literals of the engine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from costlens.functions.exprs import AsOf
@@ -196,6 +196,16 @@ def derive(spark: SparkSession, sf_dir: str, as_of: AsOf) -> dict[str, DataFrame
     return out
 
 
+def access_reads(spark: SparkSession, sf_dir: str, as_of: AsOf) -> DataFrame:
+    """The reads of the derived access history as rows, the latest per object, for
+    models that would only take its arrays apart again."""
+    columns = {c: render(e, as_of, "spark") for c, e in BLOCKS["access_objects"][2]}
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_partkey").withColumn("own", F.expr(columns["query_start_time"]))
+    query = F.min("own").over(Window.partitionBy("l_orderkey"))
+    latest = lines.withColumn("query_start_time", query).groupBy("l_partkey").agg(F.max("query_start_time").alias("query_start_time"))
+    return latest.selectExpr(f"{columns['object_name']} AS object_name", "query_start_time")
+
+
 _SERVERLESS = "schema_name string, database_name string, start_time timestamp_ntz, credits_used double"
 # FIXED VALUES: columns of the account's usage tables.
 SOURCES = {

@@ -6,8 +6,10 @@ with ``_SUCCESS``; a reader takes the highest marked version, so there is no
 pointer to lose: a writer that dies leaves a version without the mark, which
 nobody reads and the next writer steps over. A version folder is never written
 twice, so of two writers at once the later one fails instead of dropping the
-other's rows. ``foreachBatch`` calls the same function for the streaming variant.
-Versions below the newest are left for the storage's own retention rules.
+other's rows. Versions below the newest are left for the storage's own retention
+rules. Each call rewrites the table, which suits small ones; large histories go to
+``daily.upsert_days``, which writes the touched days alone, and the streaming load
+(``load_new_files``) merges its micro-batches there.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from costlens.session import checkpoint_root
+from costlens.streaming import daily
+from costlens.streaming.state import event_time
 
 
 def incremental_extract(source: DataFrame, target: DataFrame | None, ts: str = "end_time") -> DataFrame:
@@ -92,6 +96,19 @@ def stream_extract(spark: SparkSession, path: str, schema, ts: str = "end_time",
                    lateness: str = "3 hours") -> DataFrame:
     """Streaming variant of N01: new files of the source folder, late rows kept
     up to ``lateness`` and duplicates of a key dropped inside the watermark."""
-    return (spark.readStream.schema(schema).parquet(path)
-            .withWatermark(ts, lateness)
-            .dropDuplicatesWithinWatermark([key]))
+    rows = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    return (rows.withColumn("_event_time", event_time(F.col(ts)))
+            .withWatermark("_event_time", lateness)
+            .dropDuplicatesWithinWatermark([key]).drop("_event_time"))
+
+
+def load_new_files(spark: SparkSession, path: str, schema, root: str, checkpoint: str, order: list[Column],
+                   ts: str = "end_time", key: str = "query_id", lateness: str = "3 hours") -> None:
+    """Load what has come to the folder ``path`` since the last call into the daily
+    table at ``root``, and return. The file source's log in ``checkpoint`` takes each
+    file once, and the table's manifest keeps the last epoch, so a run that dies at any
+    point is carried on by the next one without loss and without doubling."""
+    write = daily.batch_writer(root, [key], order, F.to_date(ts), stream=checkpoint)
+    query = (stream_extract(spark, path, schema, ts, key, lateness).writeStream.foreachBatch(write)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()

@@ -163,36 +163,6 @@ def test_quality_checks_fail_on_bad_rows(spark):
     assert Q.rollup_components(bad).count() == 2  # both rows break total = parts
 
 
-def test_episode_stream_matches_batch(spark, tmp_path):
-    """N03: the stateful stream over two micro-batches gives the episodes of
-    the batch tracker run twice with carried state."""
-    from costlens.streaming.episodes import episode_stream
-    b1 = [("x", datetime(2024, 1, 30, 23, 0), "r1", 1.0, 0.5, "{}"), ("x", datetime(2024, 1, 30, 12, 0), "r2", 1.0, 0.5, "{}"),
-          ("x", datetime(2024, 1, 30, 23, 0), None, 1.0, 0.5, "{}")]
-    b2 = [("x", datetime(2024, 1, 31, 4, 0), "r1", 2.0, 0.5, "{}"), ("x", datetime(2024, 1, 31, 4, 0), "r2", 2.0, 0.5, "{}")]
-    # a month later, seen again: the clock has moved on, so this is a new episode
-    b3 = [("x", datetime(2024, 2, 29, 4, 0), "r1", 2.0, 0.5, "{}")]
-    src, out = str(tmp_path / "alerts"), str(tmp_path / "episodes")
-    for k, batch in enumerate((b1, b2, b3)):
-        spark.createDataFrame(batch, ALERT_SCHEMA).write.parquet(f"{src}/b{k}")
-        stream = episode_stream(spark.readStream.schema(ALERT_SCHEMA).option("recursiveFileLookup", "true").parquet(src))
-        q = (stream.writeStream.outputMode("append").format("parquet").option("path", out)
-             .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
-        assert q.awaitTermination(60)
-    spark.read.parquet(out).createOrReplaceTempView("episodes_t")
-    later = spark.sql("SELECT episode_number, is_new_episode FROM episodes_t WHERE detected_at > TIMESTAMP_NTZ '2024-02-01 00:00:00'").first()
-    assert tuple(later) == (2, True)
-    assert spark.sql("SELECT * FROM episodes_t WHERE resource_key IS NULL").first().alert_episode_key is None
-    rows = spark.sql("SELECT resource_key, episode_number, is_new_episode FROM episodes_t "
-                     "WHERE detected_at BETWEEN TIMESTAMP_NTZ '2024-01-31 00:00:00' AND TIMESTAMP_NTZ '2024-02-01 00:00:00'").collect()
-    last = {r.resource_key: (r.episode_number, r.is_new_episode) for r in rows}
-    now = AsOf("2024-01-31 04:59:00")
-    run1 = AL.alert_state_tracker(spark.createDataFrame(b1, ALERT_SCHEMA), None, now)
-    run2 = {r.resource_key: (r.episode_number, r.is_new_episode)
-            for r in AL.alert_state_tracker(spark.createDataFrame(b2, ALERT_SCHEMA), run1, now).collect()}
-    assert last == run2
-
-
 def test_upsert_survives_a_dead_writer(spark, tmp_path):
     from costlens.streaming.incremental import read_current, upsert
     root = str(tmp_path / "t")
