@@ -44,6 +44,17 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: The day a row of a date-laid table is stored under (``streaming.daily``).
+DAY = "load_day"
+
+
+def since(df, ts: str, bound: Column):
+    """Rows of ``ts`` at or after ``bound``. Where the table is laid out by the day of
+    ``ts``, the bound is put on the day too, so older folders are not read."""
+    rows = df.filter(F.col(ts) >= bound)
+    return rows.filter(F.col(DAY) >= F.to_date(bound)) if DAY in df.columns else rows
+
+
 def safe_divide(num, den) -> Column:
     """num / NULLIF(den, 0); NULL when the denominator is 0 or NULL."""
     d = col(den)

@@ -1,4 +1,4 @@
-"""Alerts: seven detectors, suppression (range join on dates + holidays),
+"""Alerts: seven detectors, suppression (intervals by month + holidays),
 episode tracking with state carried between runs, the card payload, the audit
 history and the delivery-status merge.
 
@@ -96,9 +96,9 @@ def credit_budget(config: DataFrame, wh_daily: DataFrame, budget: DataFrame, as_
 
 
 def query_spill(config: DataFrame, qh: DataFrame, as_of: AsOf) -> DataFrame:
-    j = qh.crossJoin(_cfg(config, "query_spill_heavy")).filter(
+    recent = X.since(qh, "end_time", as_of.ts_col() - F.expr("INTERVAL 1 HOURS"))
+    j = recent.crossJoin(_cfg(config, "query_spill_heavy")).filter(
         (F.col("bytes_spilled_to_remote_storage") > F.col("threshold_value"))
-        & (F.col("end_time") >= as_of.ts_col() - F.expr("INTERVAL 1 HOURS"))
         & F.col("query_text").isNotNull() & X.not_like_any("query_text", X.INTERNAL_PREFIXES_ATTRIBUTION))
     details = _details(query_id="query_id", user_name="user_name", warehouse_name="warehouse_name",
                        bytes_spilled_remote="bytes_spilled_to_remote_storage",
@@ -141,13 +141,13 @@ def query_long_running(config: DataFrame, qh: DataFrame, as_of: AsOf) -> DataFra
     text = F.upper(F.col("query_text"))
     cond = ((F.col("execution_status") == "SUCCESS")
             & (F.col("total_elapsed_time_ms") > F.col("threshold_value") * 60000)
-            & (F.col("end_time") >= as_of.ts_col() - F.expr("INTERVAL 7 DAYS"))
             & (F.col("user_name") != "SYSTEM")
             & (F.coalesce(F.col("database_name"), F.lit("")) != X.SYSTEM_DATABASE)
             & X.not_like_any("query_text", X.INTERNAL_PREFIXES_LONG_RUNNING))
     for m in X.SYSTEM_TEXT_MARKERS:
         cond = cond & ~text.contains(m)
-    j = qh.crossJoin(_cfg(config, "query_long_running")).filter(cond)
+    recent = X.since(qh, "end_time", as_of.ts_col() - F.expr("INTERVAL 7 DAYS"))
+    j = recent.crossJoin(_cfg(config, "query_long_running")).filter(cond)
     minutes = X.round_half_up(F.col("total_elapsed_time_ms") / 60000.0, 1)
     details = _details(query_id="query_id", user_name="user_name", warehouse_name="warehouse_name",
                        warehouse_size="warehouse_size", duration_minutes=minutes,
@@ -159,30 +159,32 @@ def query_long_running(config: DataFrame, qh: DataFrame, as_of: AsOf) -> DataFra
                 F.concat(F.col("warehouse_name"), F.lit("/"), F.col("user_name")), minutes, "threshold_value", details)
 
 
+def not_suppressed(alerts: DataFrame, suppressions: DataFrame) -> DataFrame:
+    """Alerts that no suppression of their alert and resource covers. A suppression is
+    laid out by the months it covers, so the interval becomes one more equal key: a
+    resource with very many suppressions is compared with those of the month alone, and
+    as an anti join, overlapping ones hit once."""
+    months = F.sequence(F.trunc("start_date", "month"), F.trunc("end_date", "month"), F.expr("INTERVAL 1 MONTH"))
+    binned = suppressions.filter("start_date <= end_date").select(
+        F.col("alert_id").alias("s_alert"), F.col("resource_value").alias("s_resource"), "start_date", "end_date", F.explode(months).alias("s_month")).distinct()
+    day = F.to_date("detected_at")
+    same = (F.col("alert_id") == F.col("s_alert")) & (F.col("resource_key") == F.col("s_resource")) & (F.trunc(day, "month") == F.col("s_month"))
+    return alerts.join(binned, same & day.between(F.col("start_date"), F.col("end_date")), "left_anti")
+
+
 def alert_union(detectors: list[DataFrame], suppressions: DataFrame, holidays: DataFrame,
                 config: DataFrame) -> DataFrame:
-    """All detector rows minus suppressed ones. The suppression window is a
-    range join (date BETWEEN start AND end) against a config-sized table, so it
-    runs as a broadcast nested-loop join with the equality keys as filter."""
+    """All detector rows but those that a suppression covers, or a bank holiday where
+    the alert's configuration says so. What is left is not suppressed and has no
+    reason, so two anti joins do."""
     alerts = detectors[0].select(ALERT_COLS)
     for d in detectors[1:]:
         alerts = alerts.unionByName(d.select(ALERT_COLS))
-    s = suppressions.select(F.col("alert_id").alias("s_alert_id"), "resource_value", "suppression_reason",
-                            "start_date", "end_date")
-    h = holidays.select("holiday_date", F.col("description").alias("h_description"))
-    c = config.select(F.col("alert_id").alias("c_alert_id"), "suppress_on_holidays")
-    day = F.to_date("detected_at")
-    j = (alerts.join(s, (F.col("alert_id") == F.col("s_alert_id"))
-                     & (F.col("resource_key") == F.col("resource_value"))
-                     & day.between(F.col("start_date"), F.col("end_date")), "left")
-         .join(h, day == F.col("holiday_date"), "left")
-         .join(c, F.col("alert_id") == F.col("c_alert_id"), "left"))
-    holiday_hit = F.col("holiday_date").isNotNull() & F.coalesce(F.col("suppress_on_holidays"), F.lit(False))
-    suppressed = F.when(F.col("s_alert_id").isNotNull(), True).when(holiday_hit, True).otherwise(False)
-    reason = (F.when(F.col("s_alert_id").isNotNull(), F.concat(F.lit("Suppression rule: "), F.col("suppression_reason")))
-              .when(holiday_hit, F.concat(F.lit("Bank holiday: "), F.col("h_description"))))
-    return (j.select(*ALERT_COLS, suppressed.alias("is_suppressed"), reason.alias("suppression_reason"))
-            .filter(~F.col("is_suppressed")))
+    resting = config.filter("suppress_on_holidays").select(F.col("alert_id").alias("h_alert")).distinct()
+    days = holidays.select("holiday_date").distinct()
+    kept = not_suppressed(alerts, suppressions).join(F.broadcast(resting), F.col("alert_id") == F.col("h_alert"), "left")
+    kept = kept.join(F.broadcast(days), (F.to_date("detected_at") == F.col("holiday_date")) & F.col("h_alert").isNotNull(), "left_anti")
+    return kept.select(*ALERT_COLS, F.lit(False).alias("is_suppressed"), F.lit(None).cast("string").alias("suppression_reason"))
 
 
 def _latest(df: DataFrame, keys: list, order: list) -> DataFrame:
@@ -358,3 +360,58 @@ def alert_delivery_merge(payload: DataFrame, responses: DataFrame, sent_at: AsOf
         .cast("int").alias("api_response_code"),
         F.when(pending, F.coalesce(F.col("_code").isin(200, 202), F.lit(False))).otherwise(F.col("send_success"))
         .alias("send_success"))
+
+
+# -- outbox ---------------------------------------------------------------------
+
+OUTBOX = "alert_episode_key string, attempts int, last_attempt_at timestamp_ntz, sent_at timestamp_ntz, api_response_code int, send_success boolean"
+
+
+def outbox_queue(payload: DataFrame, outbox: DataFrame | None) -> DataFrame:
+    """The messages to try now: those of the payload that the outbox does not know or
+    has not sent. A rebuilt payload brings nothing back that was sent before."""
+    keys = payload.select("alert_episode_key").filter("alert_episode_key IS NOT NULL").distinct()
+    if outbox is None:
+        return keys
+    return keys.join(outbox.filter("sent_at IS NOT NULL").select("alert_episode_key"), "alert_episode_key", "left_anti")
+
+
+def outbox_update(queue: DataFrame, outbox: DataFrame | None, responses: DataFrame, at: Column) -> DataFrame:
+    """The outbox rows that one round of delivery changes: a row per queued message
+    that was tried, its attempt counted. ``responses``: alert_episode_key and
+    response_code, null where the call raised; such a message stays unsent with code -1,
+    any other response sets ``sent_at``, and 200 and 202 are a success."""
+    r = responses.select("alert_episode_key", F.col("response_code").cast("int").alias("code"))
+    tried = queue.join(r, "alert_episode_key")
+    if outbox is None:
+        tried = tried.withColumn("attempts", F.lit(0))
+    else:
+        tried = tried.join(outbox.select("alert_episode_key", "attempts"), "alert_episode_key", "left")
+    return tried.select(
+        "alert_episode_key", (F.coalesce("attempts", F.lit(0)) + 1).alias("attempts"), at.alias("last_attempt_at"),
+        F.when(F.col("code").isNotNull(), at).alias("sent_at"), F.coalesce("code", F.lit(-1)).alias("api_response_code"),
+        F.coalesce(F.col("code").isin(200, 202), F.lit(False)).alias("send_success"))
+
+
+def with_delivery(payload: DataFrame, outbox: DataFrame) -> DataFrame:
+    """The payload with its messages' state of delivery."""
+    state = outbox.select("alert_episode_key", *[F.col(c).alias(f"_{c}") for c in ("sent_at", "api_response_code", "send_success")])
+    joined = payload.join(state, "alert_episode_key", "left")
+    return joined.select(*[F.coalesce(c, f"_{c}").alias(c) if c in ("sent_at", "api_response_code", "send_success") else F.col(c) for c in payload.columns])
+
+
+# -- facts of the cards ------------------------------------------------------------
+
+_CARD = "struct<attachments:array<struct<content:struct<body:array<struct<type:string,facts:array<struct<title:string,value:string>>>>>>>>"
+
+
+def payload_facts(payload: DataFrame) -> DataFrame:
+    """The facts that a message's card shows, a row each: its section (1 or 2), place
+    and title, and the value as a number where it is one (without $ and %), else as text."""
+    body = F.from_json("teams_payload_json", _CARD)["attachments"][0]["content"]["body"]
+    sets = F.filter(body, lambda b: b["type"] == "FactSet")
+    rows = payload.select("alert_episode_key", F.posexplode(sets).alias("section", "set"))
+    rows = rows.select("alert_episode_key", "section", F.posexplode("set.facts").alias("place", "fact"))
+    number = F.regexp_replace("fact.value", "^[$]|%$", "").try_cast("double")
+    return rows.select("alert_episode_key", (F.col("section") + 1).alias("section"), (F.col("place") + 1).alias("place"), F.col("fact.title").alias("title"),
+                       number.alias("value_number"), F.when(number.isNull(), F.col("fact.value")).alias("value_text"))

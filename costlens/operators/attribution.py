@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from costlens.functions import exprs as X
 from costlens.functions.exprs import AsOf
+from costlens.plans.rank import rank_within
 
 # $23 per TB-month of storage is 0.767 per TB-day; 1 TB = 1024^4 bytes
 STORAGE_USD_PER_TB_DAY = 0.767
@@ -181,8 +182,7 @@ def user_cost_summary(qca: DataFrame) -> DataFrame:
                 F.avg("estimated_cost_usd").alias("avg_cost_per_query"),
                 F.sum("bytes_scanned").alias("total_bytes_scanned"),
                 F.avg("execution_time_s").alias("avg_execution_time_s")))
-    return per.withColumn("cost_rank", F.rank().over(
-        Window.partitionBy("month").orderBy(F.col("total_cost_usd").desc())))
+    return rank_within(per, "month", "total_cost_usd", "cost_rank")
 
 
 def warehouse_role_usage(qh: DataFrame) -> DataFrame:

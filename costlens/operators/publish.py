@@ -117,14 +117,20 @@ def warehouse_efficiency(util: DataFrame, qca: DataFrame) -> DataFrame:
         .otherwise(ADVICE_OK).alias("primary_recommendation"))
 
 
-def team_cost_dashboard(tca: DataFrame) -> DataFrame:
+def team_cost_dashboard(tca: DataFrame, distinct_users: DataFrame | None = None) -> DataFrame:
+    """Monthly cost per team. ``unique_users`` adds the users of each warehouse and role,
+    as the model does; ``distinct_users`` (team_name, month, distinct_users) adds the
+    column of that name, in which a user of several counts once."""
     tm = tca.groupBy("team_name", "month").agg(
         F.sum("compute_cost").alias("monthly_cost"), F.sum("total_queries").alias("total_queries"),
         F.sum("unique_users").alias("unique_users"))
     prev = F.lag("monthly_cost").over(Window.partitionBy("team_name").orderBy("month"))
     month_total = F.sum("monthly_cost").over(Window.partitionBy("month"))
+    extra = []
+    if distinct_users is not None:
+        tm, extra = tm.join(distinct_users, ["team_name", "month"], "left"), ["distinct_users"]
     return tm.select(
-        "team_name", "month", "monthly_cost", "total_queries", "unique_users",
+        "team_name", "month", "monthly_cost", "total_queries", "unique_users", *extra,
         (X.safe_divide(F.col("monthly_cost"), month_total) * 100).alias("pct_of_total"),
         prev.alias("prev_month_cost"),
         F.coalesce(X.safe_divide(F.col("monthly_cost") - prev, prev) * 100, F.lit(0.0)).alias("mom_change_pct"),

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from costlens.operators.sketches import RANKS, latency_percentiles
 from costlens.plans.rank import exact_percentiles
 from costlens.functions import exprs as X
 
@@ -91,19 +92,26 @@ def warehouse_schedule_analysis(qca: DataFrame) -> DataFrame:
         .alias("schedulable_savings_usd"))
 
 
-def warehouse_sizing_analysis(qh: DataFrame, util: DataFrame, approx: bool = False) -> DataFrame:
+def sized_runs(qh: DataFrame) -> DataFrame:
+    """The successful user queries that a warehouse's size is judged by."""
+    return qh.filter((F.col("execution_status") == "SUCCESS") & F.col("warehouse_name").isNotNull()
+                     & X.not_like_any("query_text", X.INTERNAL_PREFIXES_ATTRIBUTION))
+
+
+def warehouse_sizing_analysis(qh: DataFrame, util: DataFrame, approx: bool = False, latency_days: DataFrame | None = None) -> DataFrame:
     """Per-warehouse size, latency percentiles, spill rate and peak hourly
     utilisation. Percentiles are exact by default; ``approx=True`` swaps in
-    ``percentile_approx`` (bounded memory per group) for very large groups."""
-    rows = qh.filter((F.col("execution_status") == "SUCCESS") & F.col("warehouse_name").isNotNull()
-                     & X.not_like_any("query_text", X.INTERNAL_PREFIXES_ATTRIBUTION))
+    ``percentile_approx`` (bounded memory per group), and ``latency_days`` the merge of
+    the stored sketches of each day."""
+    rows = sized_runs(qh)
     ms = F.col("execution_time_ms")
 
-    wanted = {"p50_exec_ms": 0.5, "p95_exec_ms": 0.95, "p99_exec_ms": 0.99}
-    if approx:
-        pcts = rows.groupBy("warehouse_name").agg(*[F.percentile_approx(ms, p, 10000).cast("double").alias(n) for n, p in wanted.items()])
+    if latency_days is not None:
+        pcts = latency_percentiles(latency_days)
+    elif approx:
+        pcts = rows.groupBy("warehouse_name").agg(*[F.percentile_approx(ms, p, 10000).cast("double").alias(n) for n, p in RANKS.items()])
     else:
-        pcts = exact_percentiles(rows, "warehouse_name", "execution_time_ms", wanted)
+        pcts = exact_percentiles(rows, "warehouse_name", "execution_time_ms", RANKS)
     stats = rows.groupBy("warehouse_name").agg(
         F.coalesce(F.mode("warehouse_size", True), F.max("warehouse_size")).alias("current_size"),
         F.count(F.lit(1)).alias("total_queries"),
@@ -127,9 +135,10 @@ def warehouse_auto_suspend(idle: DataFrame, price: DataFrame) -> DataFrame:
     gaps = idle.groupBy("warehouse_name").agg(
         F.count(F.lit(1)).alias("idle_period_count"),
         F.avg("idle_duration_minutes").alias("avg_idle_minutes"),
-        F.median("idle_duration_minutes").alias("median_idle_minutes"),
         F.sum("wasted_credits").alias("total_idle_credits"),
         F.sum("wasted_cost_usd").alias("total_idle_cost_usd"))
+    median = exact_percentiles(idle, "warehouse_name", "idle_duration_minutes", {"median_idle_minutes": 0.5})
+    gaps = gaps.join(median.withColumnRenamed("warehouse_name", "_name"), F.col("warehouse_name").eqNullSafe(F.col("_name")))
     rec = X.greatest_strict(F.lit(60.0), X.least_strict(F.col("median_idle_minutes") * 60, F.lit(300.0)))
     return gaps.crossJoin(F.broadcast(price.select(F.lit(1).alias("_p")))).select(
         "warehouse_name", F.lit(60).alias("current_auto_suspend_seconds"),

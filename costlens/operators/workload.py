@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens.functions.exprs import round_half_up
-from costlens.plans.rank import global_ntile, rank_within
+from costlens.plans.rank import global_ntile, rank_within, top_rows
 
 LOW_STOCK = 5
 # FIXED VALUES: parameters of the workload shapes
@@ -38,6 +38,10 @@ def _category():
     return F.split_part(F.col("p_type"), F.lit(" "), F.lit(1))
 
 
+def _line_order() -> list:
+    return [F.col(c) for c in ("l_partkey", "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber")]
+
+
 def _quarter_name(c):
     return F.concat(F.year(c).cast("string"), F.lit("Q"), F.quarter(c).cast("string"))
 
@@ -115,7 +119,8 @@ def month_detail(t: dict) -> DataFrame:
 def demand_signals(t: dict, top: int = TOP_SIGNALS) -> DataFrame:
     """Moving averages, volatility, lags and month-start baselines per
     (item, warehouse). Windows are partitioned by the item-warehouse pair, so
-    they spread over all tasks; the final top-k is the query's own LIMIT."""
+    they spread over all tasks; the top-k is the query's own LIMIT, taken without a
+    merge in one task."""
     inv = _inventory(t).filter(_shipped(_months(SIGNAL_YEAR, *SIGNAL_MONTHS)))
     order = [F.col("l_shipdate"), F.col("l_orderkey"), F.col("l_linenumber")]
     w = Window.partitionBy("l_partkey", "l_suppkey").orderBy(*order)
@@ -138,8 +143,7 @@ def demand_signals(t: dict, top: int = TOP_SIGNALS) -> DataFrame:
                                                                        F.col("month_start_qty")), 1).alias("mtd_change_pct"),
         round_half_up((q - F.col("qty_7day_ago")) * 100.0 / F.when(F.col("qty_7day_ago") != 0,
                                                                     F.col("qty_7day_ago")), 1).alias("wow_change_pct"))
-    return out.orderBy(F.col("z_score").desc(), "l_partkey", "l_suppkey", "l_shipdate", "l_orderkey",
-                       "l_linenumber").limit(top)
+    return top_rows(out, "z_score", _line_order(), top)
 
 
 def category_report(t: dict) -> DataFrame:
@@ -248,8 +252,7 @@ def burst_volatility(t: dict, top: int = TOP_SIGNALS) -> DataFrame:
     s = _inventory(t).select("l_partkey", "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity",
                              F.avg("l_quantity").over(w.rowsBetween(-6, 0)).alias("ma_7day"),
                              F.stddev_samp("l_quantity").over(w.rowsBetween(-29, 0)).alias("volatility_30day"))
-    return s.orderBy(F.col("volatility_30day").desc_nulls_last(), "l_partkey", "l_suppkey", "l_shipdate",
-                     "l_orderkey", "l_linenumber").limit(top)
+    return top_rows(s, "volatility_30day", _line_order(), top)
 
 
 def burst_loyalty(t: dict) -> DataFrame:

@@ -1,6 +1,7 @@
 """Oracle SQL: data-quality checks, account statistics, verification."""
 
-from costlens.oracle.base import FINAL, NOW, TODAY, final
+from costlens.oracle.base import FINAL, NOW, TODAY, cte, final
+from costlens.oracle.models_cost import _BY_ROLE, _BY_WAREHOUSE, MONTH
 from costlens.operators import account as AC
 from costlens.operators import quality as Q
 
@@ -113,3 +114,55 @@ final("upsert_days", FINAL["upsert"])
 final("episode_stream", "SELECT * FROM alert_state_carried")
 final("idle_island_stream", "SELECT * FROM idle_warehouse_periods")
 final("storage_breakdown_json", "SELECT * FROM storage_breakdown")
+final("latency_sketch_bounds", """SELECT warehouse_name, count(*) AS queries, TRUE AS p50_within, TRUE AS p95_within, TRUE AS p99_within
+FROM sized_runs WHERE execution_time_ms IS NOT NULL GROUP BY ALL""")
+final("team_user_sketch_bounds", f"""SELECT coalesce(query_tag_team, {_BY_ROLE}, {_BY_WAREHOUSE}, 'Unassigned') AS team_name, {MONTH} AS month,
+  count(DISTINCT user_name) AS users, TRUE AS within FROM query_cost_attribution GROUP BY 1, 2""")
+cte("outbox_messages", f"""
+SELECT t.alert_episode_key AS k, t.detected_at < {NOW} - INTERVAL 2 HOUR AS early, substr(md5(t.alert_episode_key), 1, 1) AS digit
+FROM alert_state_tracker t, seed_alert_configuration c
+WHERE t.alert_id = c.alert_id AND c.teams_enabled AND c.enabled AND t.alert_episode_key IS NOT NULL""")
+final("alert_outbox", f"""
+SELECT k AS alert_episode_key, CASE WHEN early AND digit >= 'c' THEN 2 ELSE 1 END AS attempts,
+  CASE WHEN early AND digit < 'c' THEN {NOW} - INTERVAL 2 HOUR ELSE {NOW} END AS last_attempt_at, last_attempt_at AS sent_at,
+  CASE WHEN NOT early OR digit >= 'c' THEN 202 WHEN digit < '4' THEN 200 WHEN digit < '8' THEN 202 ELSE 429 END AS api_response_code,
+  api_response_code <> 429 AS send_success, count(*) FILTER (WHERE early AND digit >= 'c') OVER () AS queued_again FROM outbox_messages""")
+
+# the facts of each alert's card: (title, field of the details, as money, a plain number or text)
+_FACTS = {
+    "cost_daily_spike": [("Daily Cost", "daily_cost", 2), ("Rolling 30d Avg", "rolling_30d_avg", 2), ("Detection Method", "detection_method", None), ("Z-Score", "z_score", 2)],
+    "warehouse_idle_extended": [("Warehouse", "warehouse_name", None), ("Idle Minutes", "idle_minutes", None), ("Wasted Credits", "wasted_credits", 2), ("Wasted Cost", "wasted_cost_usd", 2)],
+    "credit_budget_80pct": [("MTD Credits", "mtd_credits", 1), ("Budget Credits", "budget_credits", None), ("% Used", "pct_used", 1)],
+    "credit_budget_100pct": [("MTD Credits", "mtd_credits", 1), ("Budget Credits", "budget_credits", None), ("% Used", "pct_used", 1)],
+    "query_spill_heavy": [("Query ID", "query_id", None), ("User", "user_name", None), ("Warehouse", "warehouse_name", None), ("Spill Remote (GB)", "bytes_spilled_remote", 2), ("Execution Time (s)", "execution_time_s", 1)],
+    "repeated_expensive_query": [("Query Hash", "query_hash", None), ("Warehouse", "warehouse_name", None), ("Daily Executions", "daily_executions", None), ("Avg Cost/Run", "avg_cost_per_run", 2), ("Total Daily Cost", "total_daily_cost", 2)],
+    "query_long_running": [("Query ID", "query_id", None), ("User", "user_name", None), ("Warehouse", "warehouse_name", None), ("Duration (min)", "duration_minutes", None), ("Queued Time (s)", "queued_time_s", None), ("Query Preview", "query_preview", None)],
+}
+
+
+def _fact_value(field: str, digits: int | None) -> str:
+    value = f"json_extract_string(details_json, '$.{field}')"
+    scale = " / 1073741824.0" if field == "bytes_spilled_remote" else ""
+    if digits is not None:
+        value = f"CAST(floor(CAST({value} AS DOUBLE){scale} * {10 ** digits} + 0.5) / {10 ** digits} AS VARCHAR)"
+    return f"coalesce(left({value}, 200), 'N/A')"
+
+
+_HEAD = [("Resource", "resource_key"), ("Metric Value", "CAST(metric_value AS VARCHAR)"), ("Threshold", "CAST(threshold_value AS VARCHAR)"),
+         ("Detected At", "CAST(detected_at AS VARCHAR)"), ("Episode", "CAST(episode_number AS VARCHAR)"), ("Resolver Team", "resolver_team")]
+_FACT_ROWS = [f"SELECT alert_episode_key, 1 AS section, {n} AS place, '{t}' AS title, {v} AS value FROM cards" for n, (t, v) in enumerate(_HEAD, 1)]
+_FACT_ROWS += [f"SELECT alert_episode_key, 2, {n}, '{t}', {_fact_value(f, d)} FROM cards WHERE alert_id = '{a}'" for a, facts in _FACTS.items() for n, (t, f, d) in enumerate(facts, 1)]
+_FACT_ROWS.append("SELECT alert_episode_key, 2, 1, 'Raw Details', left(details_json, 300) FROM cards WHERE alert_id NOT IN (" + ", ".join(f"'{a}'" for a in _FACTS) + ")")
+cte("cards", """
+SELECT t.*, c.resolver_team FROM alert_state_tracker t, seed_alert_configuration c
+WHERE t.alert_id = c.alert_id AND c.teams_enabled AND c.enabled AND t.is_new_episode""")
+final("alert_payload_facts", f"""
+SELECT alert_episode_key, section, place, title, TRY_CAST(value AS DOUBLE) AS value_number, CASE WHEN value_number IS NULL THEN value END AS value_text
+FROM ({' UNION ALL '.join(_FACT_ROWS)})""")
+_money = lambda c: f"format('{{:,.2f}}', {c})"
+final("weekly_report_html", f"""SELECT report_date, week_start, concat('<html><body><h2>Weekly Cost Report</h2><p>Week starting ', strftime(week_start, '%Y-%m-%d'),
+  '</p><table><tr><td>This week</td><td>$', {_money('this_week_cost')}, '</td></tr><tr><td>Last week</td><td>$', {_money('last_week_cost')},
+  '</td></tr><tr><td>Change</td><td>', printf('%.1f', wow_change_pct), '%</td></tr><tr><td>Compute</td><td>$', {_money('this_week_compute')},
+  '</td></tr><tr><td>Storage</td><td>$', {_money('this_week_storage')}, '</td></tr><tr><td>Serverless</td><td>$', {_money('this_week_serverless')},
+  '</td></tr><tr><td>New alerts (7 days)</td><td>', active_alert_count, '</td></tr><tr><td>Open savings</td><td>$', {_money('total_unrealised_savings')},
+  '</td></tr></table></body></html>') AS html_body, generated_at FROM weekly_executive_report""")

@@ -21,7 +21,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 ORACLE_KEYS: list[str] = list(base.FINAL)
 # keys registered without an oracle statement (non-SQL operators)
-ROWS_ONLY_KEYS: list[str] = ["alert_payload", "weekly_report_html"]
+ROWS_ONLY_KEYS: list[str] = ["alert_payload"]
 ALL_KEYS: list[str] = ORACLE_KEYS + ROWS_ONLY_KEYS
 
 _INT = ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER", "UBIGINT")

@@ -65,6 +65,7 @@ def _ucs(p):
 
 
 # -- warehouse analysis -------------------------------------------------------
+from costlens.operators import sketches as SK  # noqa: E402
 from costlens.operators import warehouse as W  # noqa: E402
 
 
@@ -96,7 +97,28 @@ def _sched(p):
 @model("warehouse_sizing_analysis")
 def _sizing(p):
     return W.warehouse_sizing_analysis(p["stg_query_history"], p["warehouse_utilisation"],
-                                       p.opt("approx_percentiles", False))
+                                       p.opt("approx_percentiles", False),
+                                       p["latency_days"] if p.opt("sketched_percentiles", False) else None)
+
+
+@model("latency_days")
+def _latency_days(p):
+    return SK.latency_days(W.sized_runs(p["stg_query_history"]))
+
+
+@model("latency_sketch_bounds")
+def _latency_bounds(p):
+    return SK.latency_bounds(W.sized_runs(p["stg_query_history"]), SK.latency_percentiles(p["latency_days"]))
+
+
+@model("team_user_days")
+def _team_user_days(p):
+    return SK.team_user_days(p["query_cost_attribution"])
+
+
+@model("team_user_sketch_bounds")
+def _team_user_bounds(p):
+    return SK.team_user_bounds(p["query_cost_attribution"], SK.team_distinct_users(p["team_user_days"]))
 
 
 @model("warehouse_auto_suspend")
@@ -184,7 +206,7 @@ def _csb(p):
 
 @model("team_cost_forecast")
 def _tcf(p):
-    return FC.team_cost_forecast(p.spark, p["team_cost_attribution"], p.as_of)
+    return FC.team_cost_forecast(p.spark, p["team_cost_attribution"], p.as_of, aligned=p.opt("aligned", False))
 
 
 @model("cost_forecast_monthly")
@@ -251,7 +273,8 @@ model("cost_by_warehouse")(lambda p: PB.cost_by_warehouse(p["warehouse_daily_cre
                                                           p["query_cost_attribution"]))
 model("warehouse_efficiency")(lambda p: PB.warehouse_efficiency(p["warehouse_utilisation"],
                                                                 p["query_cost_attribution"]))
-model("team_cost_dashboard")(lambda p: PB.team_cost_dashboard(p["team_cost_attribution"]))
+model("team_cost_dashboard")(lambda p: PB.team_cost_dashboard(
+    p["team_cost_attribution"], SK.team_distinct_users(p["team_user_days"]) if p.opt("distinct_users", False) else None))
 model("weekly_executive_report")(lambda p: PB.weekly_executive_report(
     *p.published("daily_cost_rollup", "cost_by_warehouse", "all_recommendations", "alert_state_tracker"), p.as_of))
 model("weekly_report_html")(lambda p: PB.weekly_report_html(p["weekly_executive_report"]))
@@ -303,6 +326,10 @@ model("alert_history")(lambda p: AL.alert_history(p["alert_state_tracker"], p.se
                                                   p["alert_payload"]))
 
 
+model("alert_payload_facts")(lambda p: AL.payload_facts(p["alert_payload"]))
+model("alert_outbox")(lambda p: RP.delivered(p["alert_payload"], p.as_of))
+
+
 # -- dashboard queries ------------------------------------------------------------------
 from costlens.operators import dashboard as D  # noqa: E402
 

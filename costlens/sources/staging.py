@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from costlens.functions.exprs import AsOf
+from costlens.functions.exprs import DAY, AsOf
 
 _OBJ = "array<struct<objectName:string>>"
 
@@ -126,7 +126,8 @@ def _exprs(spec, raw_cols, as_of: AsOf, engine: str) -> list[str]:
 
 def project(name: str, raw: DataFrame, as_of: AsOf) -> DataFrame:
     _, spec = STAGING[name]
-    return raw.selectExpr(*_exprs(spec, set(raw.columns), as_of, "spark"))
+    laid = [DAY] if DAY in raw.columns else []  # of a table laid out by day, for pruning
+    return raw.selectExpr(*_exprs(spec, set(raw.columns), as_of, "spark"), *laid)
 
 
 def project_sql(name: str, raw_cols: set[str], as_of: AsOf) -> str:

@@ -25,7 +25,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-DAY = "load_day"
+from costlens.functions.exprs import DAY
+
 #: Spark's folder name of a null partition value.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 MANIFEST = f"{DAY} date, version long, stream string, epoch long"

@@ -16,7 +16,8 @@ KEYS = ["daily_cost_rollup", "query_cost_attribution", "query_patterns", "team_c
         "alert_union", "alert_state_tracker", "dash_cost_heatmap", "dash_table_lineage", "wl_customer_segments",
         "wl_demand_signals", "dq_schema_report", "upsert", "upsert_versions", "alert_state_carried", "alert_history_carried",
         "dq_relationships", "dq_pricing_complete", "upsert_days", "incremental_stream", "episode_stream", "idle_island_stream",
-        "storage_breakdown_json", "dq_unique", "dq_not_null", "seed_load", "verify_recent_metering",
+        "storage_breakdown_json", "alert_outbox", "alert_payload_facts", "weekly_report_html", "latency_sketch_bounds", "team_user_sketch_bounds",
+        "user_cost_summary", "cost_by_warehouse", "wl_burst_volatility", "dq_unique", "dq_not_null", "seed_load", "verify_recent_metering",
         "wl_ltv_ranking", "wl_quarterly_valuation", "wl_burst_health", "wl_burst_loyalty", "wl_burst_valuation"]
 
 
