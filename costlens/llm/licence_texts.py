@@ -1,5 +1,6 @@
 """Full texts of public licences, the templates that whole documents are compared
-with. For AGPL-3.0 the GPL-3.0 text under the AGPL's name serves."""
+with. The AGPL-3.0 has the sections of the GPL-3.0 under its own name, but its own
+preamble, section 13 and closing words."""
 
 TEXTS = (
     ("MIT", '''The MIT License (MIT)
@@ -2038,4 +2039,94 @@ OTHER DEALINGS IN THE SOFTWARE.
 For more information, please refer to <http://unlicense.org/>'''),
 )
 GPL_3 = next(text for name, text in TEXTS if name == "GPL-3.0")
-TEXTS += (("AGPL-3.0", GPL_3.replace("GNU GENERAL", "GNU AFFERO GENERAL").replace("GNU General", "GNU Affero General")),)
+
+AGPL_PREAMBLE = '''GNU AFFERO GENERAL PUBLIC LICENSE
+Version 3, 19 November 2007
+Everyone is permitted to copy and distribute verbatim copies
+of this license document, but changing it is not allowed.
+Preamble
+The GNU Affero General Public License is a free, copyleft license for
+software and other kinds of works, specifically designed to ensure
+cooperation with the community in the case of network server software.
+The licenses for most software and other practical works are designed
+to take away your freedom to share and change the works.  By contrast,
+our General Public Licenses are intended to guarantee your freedom to
+share and change all versions of a program--to make sure it remains free
+software for all its users.
+When we speak of free software, we are referring to freedom, not
+price.  Our General Public Licenses are designed to make sure that you
+have the freedom to distribute copies of free software (and charge for
+them if you wish), that you receive source code or can get it if you
+want it, that you can change the software or use pieces of it in new
+free programs, and that you know you can do these things.
+Developers that use our General Public Licenses protect your rights
+with two steps: (1) assert copyright on the software, and (2) offer
+you this License which gives you legal permission to copy, distribute
+and/or modify the software.
+A secondary benefit of defending all users' freedom is that
+improvements made in alternate versions of the program, if they
+receive widespread use, become available for other developers to
+incorporate.  Many developers of free software are heartened and
+encouraged by the resulting cooperation.  However, in the case of
+software used on network servers, this result may fail to come about.
+The GNU General Public License permits making a modified version and
+letting the public access it on a server without ever releasing its
+source code to the public.
+The GNU Affero General Public License is designed specifically to
+ensure that, in such cases, the modified source code becomes available
+to the community.  It requires the operator of a network server to
+provide the source code of the modified version running there to the
+users of that server.  Therefore, public use of a modified version, on
+a publicly accessible server, gives the public access to the source
+code of the modified version.
+An older license, called the Affero General Public License and
+published by Affero, was designed to accomplish similar goals.  This is
+a different license, not a version of the Affero GPL, but Affero has
+released a new version of the Affero GPL which permits relicensing under
+this license.
+The precise terms and conditions for copying, distribution and
+modification follow.
+'''
+
+AGPL_13 = '''13. Remote Network Interaction; Use with the GNU General Public License.
+Notwithstanding any other provision of this License, if you modify the
+Program, your modified version must prominently offer all users
+interacting with it remotely through a computer network (if your version
+supports such interaction) an opportunity to receive the Corresponding
+Source of your version by providing access to the Corresponding Source
+from a network server at no charge, through some standard or customary
+means of facilitating copying of software.  This Corresponding Source
+shall include the Corresponding Source for any work covered by version 3
+of the GNU General Public License that is incorporated pursuant to the
+following paragraph.
+Notwithstanding any other provision of this License, you have
+permission to link or combine any covered work with a work licensed
+under version 3 of the GNU General Public License into a single
+combined work, and to convey the resulting work.  The terms of this
+License will continue to apply to the part which is the covered work,
+but the work with which it is combined will remain governed by version
+3 of the GNU General Public License.
+'''
+
+AGPL_END = '''If your software can interact with users remotely through a computer
+network, you should also make sure that it provides a way for users to
+get its source.  For example, if your program is a web application, its
+interface could display a "Source" link that leads users to an archive
+of the code.  There are many ways you could offer source, and different
+solutions will be better for different programs; see section 13 for the
+specific requirements.
+You should also get your employer (if you work as a programmer) or school,
+if any, to sign a "copyright disclaimer" for the program, if necessary.
+For more information on this, and how to apply and follow the GNU AGPL, see
+<https://www.gnu.org/licenses/>.'''
+
+
+def _between(first: str, last: str) -> str:
+    """The shared part from the line ``first`` up to the line ``last``, which has the
+    licence's name."""
+    start = GPL_3.index(f"\n{first}\n") + 1
+    return GPL_3[start:GPL_3.index(f"\n{last}", start) + 1].replace("GNU General", "GNU Affero General")
+
+
+TEXTS += (("AGPL-3.0", AGPL_PREAMBLE + _between("TERMS AND CONDITIONS", "13. Use with") + AGPL_13
+           + _between("14. Revised Versions of this License.", "If the program does terminal") + AGPL_END),)

@@ -9,11 +9,12 @@ of its length, which clears most lines before any cosine. The text itself is als
 compared with the full licence texts. The best full text of at least MIN_COSINE, or
 else the best template, is the document's own licence. A document with a licence is
 a licence file, whatever its length, if it is near a full text, if its name says so,
-or if most of its terms lie in the matched lines; and so is any of at most FILE_WORDS
-words. Licence files speak for their directory, the
-best cosine first, then the smallest doc_id. A document without a licence takes
-that of its nearest ancestor directory, by a join of the distinct directories'
-ancestors with the licensed ones.
+or if most of its terms lie in the matched lines. Licence files speak for their
+directory, the best cosine first, then the smallest doc_id, then the licence's name.
+A document without a licence takes that of its nearest ancestor directory, by a join of
+the distinct directories' ancestors with the licensed ones; the last ancestor is the
+root, "" of relative paths and "/" of absolute ones. Of licences with equal cosines (to
+nine places) the first by name is a document's own.
 
 Null text has no licence; a null path lies in no directory. Empty table: no rows.
 Repeated rows give repeated rows. Extra columns are ignored."""
@@ -25,14 +26,13 @@ import re
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlens.llm.common import cut, text_of
 from costlens.llm.licence_texts import TEXTS
 
 MIN_COSINE = 0.8
-FILE_WORDS = 60
 FILE_NAME = r"^((un)?licen[cs]e|copying)(-[a-z0-9]+([.][0-9]+)*)?([.](txt|md|rst|html?|lesser|lib))?$"
 
 #: Identifiers and the wording of public licence notices.
@@ -101,7 +101,7 @@ class Matcher:
         if not own or own < MIN_COSINE**2 * (own + rest):
             return 0.0, None
         size = math.sqrt(own + rest)
-        near = [(sum(x * v.get(t, 0.0) for t, x in vector.items()) / size, name) for name, v in self.full]
+        near = [(round(sum(x * v.get(t, 0.0) for t, x in vector.items()) / size, 9), name) for name, v in self.full]
         score, name = min(near, key=lambda n: (-n[0], n[1]))
         return (score, name) if score >= MIN_COSINE else (0.0, None)
 
@@ -116,7 +116,7 @@ class Matcher:
         if own < MIN_COSINE**2 * (own + rest):
             return 0.0, None
         size = math.sqrt(own + sum((c * self.other) ** 2 for t, c in Counter(w for w in words if w not in VOCABULARY).items()))
-        near = [(sum(x * v.get(t, 0.0) for t, x in vector.items()) / size, name) for name, v in self.templates]
+        near = [(round(sum(x * v.get(t, 0.0) for t, x in vector.items()) / size, 9), name) for name, v in self.templates]
         score, name = min(near, key=lambda n: (-n[0], n[1]))
         return (score, name) if score >= MIN_COSINE else (0.0, None)
 
@@ -161,18 +161,27 @@ def own_licences(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, path string, own string, score double, n_terms long, most boolean")
 
 
+def ancestors(folder: Column) -> Column:
+    """depth and directory of a directory, of all above it, and of the root."""
+    absolute = folder.startswith("/")
+    parts = F.filter(F.split(folder, "/"), lambda p: p != "")
+    root = F.when(absolute, "/").otherwise("")
+    lead = F.when(absolute, "/").otherwise("")
+    inner = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(i.alias("depth"), F.concat(lead, F.array_join(F.slice(parts, 1, i), "/")).alias("above")))
+    top = F.array(F.struct(F.lit(0).alias("depth"), root.alias("above")))
+    return F.when(F.size(parts) > 0, F.concat(top, inner)).otherwise(top)
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, path, text): doc_id, path, own, score,
     inherited_from (directory or null), licence."""
-    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    folder = F.when(F.col("path").rlike("^/[^/]*$"), "/").otherwise(F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
     rows = cut(own_licences(docs).withColumn("folder", folder), "licences")
     named = F.lower(F.regexp_extract("path", r"([^/]*)$", 1)).rlike(FILE_NAME)
-    files = rows.filter(F.col("own").isNotNull() & (named | F.col("most") | (F.col("n_terms") <= FILE_WORDS)) & F.col("folder").isNotNull())
+    files = rows.filter(F.col("own").isNotNull() & (named | F.col("most")) & F.col("folder").isNotNull())
     first = F.min(F.struct((-F.col("score")).alias("s"), F.col("doc_id"), F.col("own").alias("licence")))
     ruled = files.groupBy("folder").agg(first.alias("f")).select(F.col("folder").alias("above"), F.col("f.licence").alias("licence"))
-    parts = F.split("folder", "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(parts, 1, i), "/").alias("above")))
-    folders = rows.filter("own IS NULL AND folder IS NOT NULL").select("folder").distinct().select("folder", F.inline(above))
+    folders = rows.filter("own IS NULL AND folder IS NOT NULL").select("folder").distinct().select("folder", F.inline(ancestors(F.col("folder"))))
     near = folders.join(ruled, "above").groupBy("folder").agg(F.max(F.struct("depth", "above", "licence")).alias("n"))
     near = near.select(F.col("folder").alias("at"), F.col("n.above").alias("inherited_from"), F.col("n.licence").alias("passed_on"))
     out = rows.join(near, (rows["folder"] == near["at"]) & rows["own"].isNull(), "left")

@@ -350,7 +350,7 @@ def test_licence_files_of_full_length(spark):
     agpl = "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007\n" + full["AGPL-3.0"][200:]
     data, want = [], {}
     for k, (name, text) in enumerate({**full, "AGPL-3.0": agpl}.items()):
-        assert len(licenses.terms(text)) > licenses.FILE_WORDS
+        assert len(licenses.terms(text)) > 60
         text = "Copyright (c) 2020 Somebody Else\n" + text
         data += [(3 * k, f"r{k}/legal.txt", text), (3 * k + 1, f"r{k}/x.py", filler), (3 * k + 2, f"r{k}/a/b/y.py", filler)]
         want |= {3 * k: (name, None, name), 3 * k + 1: (None, f"r{k}", name), 3 * k + 2: (None, f"r{k}", name)}
@@ -364,6 +364,71 @@ def test_licence_files_of_full_length(spark):
     assert {r.doc_id: (r.own, r.inherited_from, r.licence) for r in out} == want
 
 
+def plain_licences(docs):
+    """Cosines over dictionaries and a walk up the path, written without the operator."""
+    import math
+    corpus = [Counter(licenses.terms(t or "")) for _, _, t in docs]
+    known = set(licenses.FULL_VOCABULARY)
+    df = Counter(w for c in corpus for w in c if w in known)
+    weight = lambda w: math.log((1 + len(docs)) / (1 + df.get(w, 0))) + 1
+
+    def cosine(a, b):
+        dot = sum(n * b[w] * weight(w) ** 2 for w, n in a.items() if w in b)
+        size = lambda c: math.sqrt(sum((n * weight(w)) ** 2 for w, n in c.items()))
+        return dot / (size(a) * size(b)) if a and b else 0.0
+
+    def near(words, templates):
+        score, name = min(((-round(cosine(Counter(words), Counter(licenses.terms(t))), 9), n) for n, t in templates), default=(0.0, None))
+        return (-score, name) if -score >= licenses.MIN_COSINE - 1e-12 else (0.0, None)
+
+    own, ruling = {}, {}
+    for doc_id, path, text in docs:
+        lines = [w for w in map(licenses.terms, (text or "").split("\n")) if w]
+        words = [w for x in lines for w in x]
+        score, name = near(words, licenses.TEXTS)
+        most = bool(name)
+        if not name:
+            spans = ([words] if len(lines) > 2 else []) + lines + [a + b for a, b in zip(lines, lines[1:])]
+            found = [(-sc, n, -len(sp)) for sp in spans for sc, n in [near(sp, licenses.TEMPLATES)] if n]
+            if found:
+                score, name, size = min(found)
+                score, most = -score, 2 * -size > len(words)
+        own[doc_id] = name
+        if name and path is not None:
+            folder, _, file = path.rpartition("/") if path.count("/") != 1 or path[0] != "/" else ("/", "", path[1:])
+            if most or re.fullmatch(licenses.FILE_NAME, file.lower()):
+                ruling[folder] = min(ruling.get(folder, (0, 0, "")), (-score, doc_id, name))
+    out = {}
+    for doc_id, path, _ in docs:
+        at = None if path is None else "/" if path.startswith("/") and path.count("/") == 1 else path.rpartition("/")[0]
+        up = at
+        while own[doc_id] is None and up is not None and up not in ruling:
+            up = None if up in ("", "/") else up.rpartition("/")[0] or ("/" if up.startswith("/") else "")
+        got = up if own[doc_id] is None and up is not None else None
+        out[doc_id] = (own[doc_id], got, own[doc_id] or (ruling[got][2] if got is not None else None))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_licences_of_random_trees(spark, seed):
+    rnd = random.Random(seed)
+    notices = [t for _, t in licenses.TEMPLATES] + [t for n, t in licenses.TEXTS if n in ("MIT", "AGPL-3.0", "GPL-3.0", "ISC")]
+    docs = []
+    for i in range(90):
+        folder = "/".join(rnd.choice("abc") for _ in range(rnd.randint(0, 4)))
+        path = rnd.choice(["", "", "/"]) + (folder + "/" if folder else "") + rnd.choice(["LICENSE", "x.py", "copying.txt", "y.md"]) + ("" if rnd.random() < 0.5 else "")
+        lines = ["plain invented wording of line %d" % rnd.randint(0, 99) for _ in range(rnd.choice([0, 1, 30]))]
+        if rnd.random() < 0.3:
+            lines.insert(rnd.randint(0, len(lines)), rnd.choice(notices))
+        docs.append((i, None if i % 29 == 5 else path, None if i % 31 == 7 else "\n".join(lines)))
+    docs += [(200, "LICENSE", "Licensed under the ISC License."), (201, "src/a/y.py", "plain"), (202, "/abs/z.py", "plain"), (203, "/LICENSE", "Released under the MIT License.")]
+    frame = spark.createDataFrame(docs, "doc_id long, path string, text string").withColumns({"folder": F.lit(1), "licence": F.lit("x"), "above": F.lit(None), "depth": F.lit(2)})
+    got = {r.doc_id: (r.own, r.inherited_from, r.licence) for r in licenses.scan(frame).collect()}
+    want = plain_licences(docs)
+    assert got == want
+    assert want[201][2] is not None and want[202][2] is not None
+
+
 # --- op8
 
 def test_lm_score(spark, docs, rows):
