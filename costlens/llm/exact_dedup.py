@@ -2,10 +2,11 @@
 
 Every partition folds its rows to one sorted run with a single entry per digest.
 Runs then meet in rounds: run ``i`` joins run ``i // FAN`` (three binomial levels
-per shuffle at a fan-in of eight), each task merges the sorted runs of one digest
-slot and keeps, per digest, the best entry and the number of rows. After the last
-round there is one run per slot. A hot digest travels as one entry per run, so no
-task sees its rows.
+per shuffle at a fan-in of eight). A task gets the runs of some digest slots in the
+order of their digests - Spark's sort merges them, spilling where they are large - and
+passes over that order once, keeping per digest the best entry and the number of rows;
+it holds a batch and one entry. After the last round there is one run per slot. A hot
+digest travels as one entry per run, so no task sees its rows.
 
 Two texts are equal when they agree after all characters of [\\x20\\x09-\\x0D] are
 deleted; null counts as the empty text. The row with the most code points stays,
@@ -34,7 +35,7 @@ FAN = 8
 #: Digests that one merge task should end with.
 SLOT_ROWS = 100_000
 
-RUN = "slot int, run int, digest binary, n_chars long, doc_id long, n_rows long, n_bytes long, proof long"
+RUN = "slot int, run int, digest binary, n_chars long, doc_id long, row long, n_rows long, n_bytes long, proof long"
 _NULL_ID = np.iinfo(np.int64).max
 
 
@@ -55,20 +56,31 @@ def _words(digest: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(digest.to_pylist()), dtype=">u8").reshape(-1, 4).astype(np.uint64)
 
 
-def fold(t: pa.Table) -> pa.Table:
-    """One sorted entry per digest: best row, row count; raises on a false match."""
+def merge(t: pa.Table) -> pa.Table:
+    """One entry per key of a table in order: the first row of it, and its row count;
+    raises on a false match."""
     key = _words(t["digest"].combine_chunks())
-    chars, ids, rows, size, proof = (t[c].to_numpy() for c in ("n_chars", "doc_id", "n_rows", "n_bytes", "proof"))
-    order = np.lexsort((ids, -chars, key[:, 3], key[:, 2], key[:, 1], key[:, 0]))
-    key = key[order]
-    first = np.ones(len(order), bool)
-    first[1:] = (key[1:] != key[:-1]).any(axis=1)
-    at = np.flatnonzero(first)
-    for values in (size[order], proof[order]):
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]).any(axis=1)
+    for c in ("slot", "run"):
+        if c in t.schema.names:
+            own = t[c].to_numpy()
+            new[1:] |= own[1:] != own[:-1]
+    at = np.flatnonzero(new)
+    for c in ("n_bytes", "proof"):
+        values = t[c].to_numpy()
         if (np.minimum.reduceat(values, at) != np.maximum.reduceat(values, at)).any():
             raise ValueError("two different texts share a SHA-256 digest")
-    best = t.take(pa.array(order[at]))
-    return best.set_column(best.schema.get_field_index("n_rows"), "n_rows", pa.array(np.add.reduceat(rows[order], at)))
+    best = t.take(pa.array(at))
+    return best.set_column(best.schema.get_field_index("n_rows"), "n_rows", pa.array(np.add.reduceat(t["n_rows"].to_numpy(), at)))
+
+
+def fold(t: pa.Table) -> pa.Table:
+    """``merge`` of a table in any order: most code points first, then the smallest id,
+    then the first row."""
+    key = _words(t["digest"].combine_chunks())
+    order = np.lexsort((t["row"].to_numpy(), t["doc_id"].to_numpy(), -t["n_chars"].to_numpy(), key[:, 3], key[:, 2], key[:, 1], key[:, 0]))
+    return merge(t.take(pa.array(order)))
 
 
 def _local_runs(slot_bits: int):
@@ -87,34 +99,43 @@ def _local_runs(slot_bits: int):
     return run
 
 
-def _merge(t: pa.Table) -> pa.Table:
-    return fold(t)
+def _merge_runs(batches):
+    """Merges a task's sorted runs in one pass; the last entry waits for the next batch."""
+    held = None
+    for b in batches:
+        if b.num_rows:
+            t = pa.Table.from_batches([b])
+            t = merge(t if held is None else pa.concat_tables([held, t.cast(held.schema)]))
+            held = t.slice(len(t) - 1).combine_chunks()
+            yield from t.slice(0, len(t) - 1).combine_chunks().to_batches()
+    if held is not None:
+        yield from held.to_batches()
 
 
 def winners(rows: DataFrame) -> DataFrame:
-    """digest, keep_id, keep_chars, group_size: one row per digest of ``rows``
-    (the columns of ``digests``)."""
+    """digest, keep_id, keep_chars, keep_row, group_size: one row per digest of ``rows``
+    (the columns of ``digests``, and optionally a number ``row`` that tells equal rows apart)."""
     n = rows.count()
     slot_bits = max(0, math.ceil(math.log2(max(1, n / SLOT_ROWS))))
-    entries = rows.withColumn("n_rows", F.lit(1).cast("long")).withColumn("doc_id", F.coalesce("doc_id", F.lit(int(_NULL_ID))))
-    runs = entries.select("digest", "n_chars", "doc_id", "n_rows", "n_bytes", "proof").mapInArrow(_local_runs(slot_bits), RUN)
+    row = rows["row"] if "row" in rows.columns else F.lit(0).cast("long")
+    entries = rows.withColumn("row", row).withColumn("n_rows", F.lit(1).cast("long")).withColumn("doc_id", F.coalesce("doc_id", F.lit(int(_NULL_ID))))
+    runs = entries.select("digest", "n_chars", "doc_id", "row", "n_rows", "n_bytes", "proof").mapInArrow(_local_runs(slot_bits), RUN)
     runs = cut(runs, "digest-runs")
     last = runs.agg(F.max("run")).first()[0] or 0
     while last:
-        runs = runs.withColumn("run", F.floor(F.col("run") / FAN).cast("int")).groupBy("slot", "run").applyInArrow(_merge, RUN)
+        runs = runs.withColumn("run", F.floor(F.col("run") / FAN).cast("int")).repartition("slot", "run")
+        runs = runs.sortWithinPartitions("slot", "run", "digest", F.desc("n_chars"), "doc_id", "row").mapInArrow(_merge_runs, RUN)
         last //= FAN
-    return runs.select("digest", F.nullif("doc_id", F.lit(int(_NULL_ID))).alias("keep_id"), F.col("n_chars").alias("keep_chars"), F.col("n_rows").alias("group_size"))
+    return runs.select("digest", F.nullif("doc_id", F.lit(int(_NULL_ID))).alias("keep_id"), F.col("n_chars").alias("keep_chars"), F.col("row").alias("keep_row"), F.col("n_rows").alias("group_size"))
 
 
 def assign(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = cut(digests(docs), "digests")
+    rows = cut(digests(docs).withColumn("row", F.monotonically_increasing_id()), "digests")
     copies = winners(rows).filter("group_size > 1")
-    same = Window.partitionBy("digest", "doc_id", "n_chars").orderBy("proof")
-    rows = rows.withColumn("turn", F.row_number().over(same))
     joined = rows.join(copies, "digest", "left")  # adaptive execution splits the partition of a hot digest
     alone = F.col("group_size").isNull()
-    stays = F.col("keep_id").eqNullSafe(F.col("doc_id")) & (F.col("keep_chars") == F.col("n_chars")) & (F.col("turn") == 1)
+    stays = F.col("keep_row") == F.col("row")
     return joined.select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
