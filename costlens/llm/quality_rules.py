@@ -4,12 +4,14 @@ A rule is a ratio of counts over the whole text and a cutoff: a document whose
 ratio lies above the cutoff of its stratum is rejected. Cutoffs come from labelled
 documents, split by a hash of doc_id into a tuning and a holdout half. The tuning
 half proposes, per stratum and rule, the step of the rule's grid that rejects most
-bad documents at a share of falsely rejected good ones of at most ALPHA / 2. The
-holdout half certifies it: with n good holdout documents of which k would be
-rejected, the proposal holds only if P(Bin(n, ALPHA) <= k) <= DELTA / tests, an
-exact binomial tail with a Bonferroni correction over all proposals tested. With
-probability 1 - DELTA every rule in force falsely rejects at most ALPHA of the good
-documents of its stratum. A rule without a certified cutoff rejects nothing.
+bad documents at a share of falsely rejected good ones of at most ALPHA / 2. A
+stratum's proposals are ordered by the bad documents they catch, then by name, and the
+holdout half certifies them together: of n good holdout documents the first j proposals
+would reject k, by any of them, and they hold only if P(Bin(n, ALPHA) <= k) <=
+DELTA / tests, an exact binomial tail with a Bonferroni correction over all such tests
+of all strata. The largest j that holds is in force; the rules beyond it reject nothing.
+With probability 1 - DELTA the rules of every stratum together falsely reject at most
+ALPHA of its good documents.
 
 A document also fails if it has under 20 words, or if over 30 % of its words lie in
 8-word windows found twice or more in it; such documents take no part in tuning.
@@ -22,13 +24,15 @@ columns, whatever their names, are passed through by ``keep``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens.llm.common import cut, fresh, text_of, without_blanks
 
-#: False rejections allowed to one rule in one stratum, and the risk of exceeding them anywhere.
+#: False rejections allowed to the rules of one stratum together, and the risk of exceeding them anywhere.
 ALPHA, DELTA = 0.01, 0.05
+#: Cutoffs that become part of an expression; more are joined by stratum.
+INLINE_CUTOFFS = 4096
 WINDOW, MIN_WORDS, MAX_REPEAT_PCT = 8, 20, 30
 
 #: rule: (numerator, denominator, ascending grid of cutoffs)
@@ -135,68 +139,94 @@ def cutoffs(measured: DataFrame, labels: DataFrame, q: str, stratum: str) -> Dat
     proposed = tried.filter((F.col("caught") > 0) & (F.col("lost") <= F.col("tune_n") * (ALPHA / 2)))
     # most caught first, then the most lenient step
     best = proposed.groupBy("stratum", "rule").agg(F.max(F.struct("caught", "step", "n", "k")).alias("b")).select("stratum", "rule", "b.*")
+    ordered = best.withColumn("place", F.row_number().over(Window.partitionBy("stratum").orderBy(F.desc("caught"), "rule")))  # six rows at most
+    listed = ordered.groupBy(F.col("stratum").alias("of")).agg(F.collect_list(F.struct("place", "rule", "step")).alias("proposals"))
+    # of each good holdout document, the first proposal that rejects it
+    good = rows.filter(holdout & (F.col("good") == 1)).select("stratum", F.map_from_entries(each).alias("steps"))
+    hits = F.filter("proposals", lambda x: F.element_at(F.col("steps"), x["rule"]) > x["step"])
+    first = good.join(listed, F.col("stratum").eqNullSafe(F.col("of"))).select("of", F.array_min(F.transform(hits, lambda x: x["place"])).alias("first"))
+    lost = first.dropna(subset=["first"]).groupBy("of", "first").agg(F.count(F.lit(1)).alias("lost"))
+    joint = ordered.join(lost, F.col("stratum").eqNullSafe(F.col("of")) & (F.col("first") <= F.col("place")), "left")
+    joint = joint.groupBy("stratum", "rule", "step", "place", "n").agg(F.coalesce(F.sum("lost"), F.lit(0)).alias("joint"))
     tests = best.agg(F.count(F.lit(1)).alias("tests"))
-    held = best.crossJoin(tests).filter(tail_at_most(F.col("n"), F.col("k"), ALPHA) <= DELTA / F.col("tests"))
+    sure = joint.crossJoin(tests).withColumn("sure", tail_at_most(F.col("n"), F.col("joint"), ALPHA) <= DELTA / F.col("tests"))
+    last = F.max(F.when(F.col("sure"), F.col("place"))).over(Window.partitionBy("stratum"))
+    held = sure.withColumn("last", last).filter(F.col("place") <= F.col("last"))
     values = F.create_map(*[x for r, (_, _, g) in RULES.items() for x in (F.lit(r), F.array(*[F.lit(c) for c in g]))])
     return held.select("stratum", "rule", F.element_at(F.element_at(values, F.col("rule")), F.col("step") + 1).alias("cutoff"))
 
 
-def verdict(measured: DataFrame, labels: DataFrame, q: str, stratum: str = "lang") -> Column:
-    """Whether a row of ``measured`` stays. The certified cutoffs, at most one per
-    labelled stratum and rule, become part of the expression; strata are few by
-    design, and more than 4,096 certified cutoffs are refused."""
-    found = cutoffs(measured, labels, q, stratum).limit(4097).collect()
-    if len(found) > 4096:
-        raise ValueError("choose a coarser stratum: more than 4096 cutoffs")
+def judge(measured: DataFrame, labels: DataFrame, q: str, out: str, stratum: str = "lang") -> DataFrame:
+    """``measured`` with the boolean ``out``, whether a row stays. The certified cutoffs,
+    at most one per labelled stratum and rule, become part of the expression; where there
+    are more than ``INLINE_CUTOFFS``, each stratum's are joined to its rows."""
+    found = cut(cutoffs(measured, labels, q, stratum), "cutoffs")
+    few = found.limit(INLINE_CUTOFFS + 1).collect()
     rejected = base_failed(F.col(q))
-    for r in sorted(found, key=lambda r: (r["stratum"] is not None, str(r["stratum"]), r["rule"])):
-        rejected = rejected | (F.col(stratum).eqNullSafe(F.lit(r["stratum"])) & (_ratio(F.col(q), r["rule"]) > r["cutoff"]))
-    return ~F.coalesce(rejected, F.lit(False))
+    if len(few) <= INLINE_CUTOFFS:
+        for r in sorted(few, key=lambda r: (r["stratum"] is not None, str(r["stratum"]), r["rule"])):
+            rejected = rejected | (F.col(stratum).eqNullSafe(F.lit(r["stratum"])) & (_ratio(F.col(q), r["rule"]) > r["cutoff"]))
+        return measured.withColumn(out, ~F.coalesce(rejected, F.lit(False)))
+    of, each = fresh(measured, "of_", "cutoffs_")
+    listed = found.groupBy(F.col("stratum").alias(of)).agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias(each))
+    for r in RULES:
+        rejected = rejected | F.coalesce(_ratio(F.col(q), r) > F.try_element_at(F.col(each), F.lit(r)), F.lit(False))
+    joined = measured.join(listed, F.col(stratum).eqNullSafe(F.col(of)), "left")
+    return joined.withColumn(out, ~F.coalesce(rejected, F.lit(False))).drop(of, each)
 
 
 def assign(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """One row per row of ``docs``: doc_id, the metrics, base_failed, kept."""
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs[stratum].alias("stratum"), text_of(docs).alias("text"))
     rows = cut(measure(rows, "q").drop("text"), "quality")
-    kept = verdict(rows, labels, "q", "stratum")
-    return rows.select("doc_id", *[F.col(f"q.{m}").alias(m) for m in METRICS[:5]], base_failed(F.col("q")).alias("base_failed"), kept.alias("kept"))
+    rows = judge(rows, labels, "q", "kept", "stratum")
+    return rows.select("doc_id", *[F.col(f"q.{m}").alias(m) for m in METRICS[:5]], base_failed(F.col("q")).alias("base_failed"), "kept")
 
 
 def keep(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """``docs`` without the rejected rows; all columns stay."""
-    (q,) = fresh(docs, "quality_")
+    q, stays = fresh(docs, "quality_", "stays_")
     rows = cut(measure(docs, q), "quality")
-    return rows.filter(verdict(rows, labels, q, stratum)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return judge(rows, labels, q, stays, stratum).filter(F.col(stays)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _BARE = "translate({}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')"
 
 
-def _oracle() -> str:
-    ratio = lambda r: f"CAST({RULES[r][0]} AS DOUBLE) / CAST({RULES[r][1]} AS DOUBLE)"
-    steps = " UNION ALL ".join(f"SELECT doc_id, '{r}' AS rule, i AS step, cutoff, {ratio(r)} > cutoff AS hit FROM base, (SELECT unnest(range({len(g)})) AS i, unnest({list(g)}) AS cutoff)" for r, (_, _, g) in RULES.items())
-    return f"""
-WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS t, {_WORDS} AS words, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: {_BARE.format('x')} <> '') AS lines FROM documents),
+ORACLE_METRICS = f"""w AS (SELECT doc_id, lang, coalesce(text, '') AS t, {_WORDS} AS words, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: {_BARE.format('x')} <> '') AS lines FROM documents),
 win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 7], ' ')) AS c FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 6, 1))) AS i FROM w)),
 rep AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM win, range(8) r(o) WHERE c > 1 GROUP BY doc_id),
 m AS (SELECT w.doc_id, lang, CAST(len(words) AS BIGINT) AS n_words, CAST(length({_BARE.format('t')}) AS BIGINT) AS word_chars,
   CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
   coalesce(rep.n, 0) AS n_repeat_words, len(lines) AS n_lines, length(t) - length(replace(t, '!', '')) AS n_bangs,
-  length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS n_capitals FROM w LEFT JOIN rep USING (doc_id)),
-f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words AS base_failed FROM m),
+  length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS n_capitals FROM w LEFT JOIN rep USING (doc_id))"""
+
+
+def _oracle(metrics: str) -> str:
+    """The verdict in SQL over the CTE ``m`` of ``metrics``."""
+    ratio = lambda r: f"CAST({RULES[r][0]} AS DOUBLE) / CAST({RULES[r][1]} AS DOUBLE)"
+    steps = " UNION ALL ".join(f"SELECT doc_id, '{r}' AS rule, i AS step, cutoff, {ratio(r)} > cutoff AS hit FROM base, (SELECT unnest(range({len(g)})) AS i, unnest({list(g)}) AS cutoff)" for r, (_, _, g) in RULES.items())
+    return f"""
+WITH {metrics},
+f AS MATERIALIZED (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words AS base_failed FROM m),
 base AS (SELECT * FROM f WHERE NOT base_failed),
-hits AS ({steps}),
+hits AS MATERIALIZED ({steps}),
 lab AS (SELECT doc_id, max(quality) AS good, substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) < '8' AS holdout FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
-tried AS (SELECT lang, rule, step, cutoff, count(*) FILTER (holdout AND good = 1) AS n, count(*) FILTER (holdout AND good = 1 AND hit) AS k,
+tried AS MATERIALIZED (SELECT lang, rule, step, cutoff, count(*) FILTER (holdout AND good = 1) AS n, count(*) FILTER (holdout AND good = 1 AND hit) AS k,
   count(*) FILTER (NOT holdout AND good = 1) AS tune_n, count(*) FILTER (NOT holdout AND good = 1 AND hit) AS lost,
   count(*) FILTER (NOT holdout AND good = 0 AND hit) AS caught FROM hits JOIN lab USING (doc_id) JOIN base USING (doc_id) GROUP BY ALL),
-best AS (SELECT * FROM tried WHERE caught > 0 AND lost <= tune_n * {ALPHA / 2}
-  QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY caught DESC, step DESC) = 1),
-held AS (SELECT lang, rule, cutoff FROM best WHERE k < n * {ALPHA} AND (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({ALPHA}) + (n - j) * ln({1 - ALPHA}))) FROM (SELECT unnest(range(k + 1)) AS j)) <= {DELTA} / (SELECT count(*) FROM best)),
+best AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY caught DESC, rule) AS place FROM (
+  SELECT * FROM tried WHERE caught > 0 AND lost <= tune_n * {ALPHA / 2}
+  QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY caught DESC, step DESC) = 1)),
+firsts AS (SELECT base.lang, doc_id, min(place) AS place FROM hits JOIN lab USING (doc_id) JOIN base USING (doc_id) JOIN best ON best.lang IS NOT DISTINCT FROM base.lang AND best.rule = hits.rule AND best.cutoff = hits.cutoff
+  WHERE hit AND holdout AND good = 1 GROUP BY ALL),
+joint AS (SELECT b.lang, b.rule, b.cutoff, b.place, b.n, count(f.doc_id) AS k FROM best b LEFT JOIN firsts f ON f.lang IS NOT DISTINCT FROM b.lang AND f.place <= b.place GROUP BY ALL),
+sure AS (SELECT lang, max(place) AS last FROM joint WHERE k < n * {ALPHA} AND (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({ALPHA}) + (n - j) * ln({1 - ALPHA}))) FROM (SELECT unnest(range(k + 1)) AS j)) <= {DELTA} / (SELECT count(*) FROM best) GROUP BY lang),
+held AS (SELECT joint.lang, rule, cutoff FROM joint JOIN sure ON sure.lang IS NOT DISTINCT FROM joint.lang AND place <= last),
 out AS (SELECT DISTINCT hits.doc_id FROM hits JOIN base USING (doc_id) JOIN held ON held.lang IS NOT DISTINCT FROM base.lang AND held.rule = hits.rule AND held.cutoff = hits.cutoff WHERE hit)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM out) AS kept FROM f"""
 
 
-ORACLE_SQL = _oracle()
+ORACLE_SQL = _oracle(ORACLE_METRICS)

@@ -19,7 +19,7 @@ from xxhash import xxh64_intdigest
 
 import public_tokenizers
 from costlens.llm import bpe_tree, column_bwt, exact_dedup, licenses, lm_score, packing, quality_rules, secret_ledger, simhash, token_frames
-from costlens.llm.common import new_folder
+from costlens.llm.common import cut, new_folder
 
 SF = "/root/testdata/sf0.001"
 BLANK = re.compile(r"[\x20\x09-\x0D]+")
@@ -111,6 +111,39 @@ def test_quality_cutoffs_hold_their_risk(spark):
     assert kept == {*range(2500), *range(9000, 9020)}
 
 
+def test_quality_rules_share_one_risk(spark, monkeypatch):
+    """Two rules that each keep the risk, but not together: only the better one holds."""
+    base = "other text that goes on and on with many more words up to twenty five of them in all so there"
+    loud, odd = base + " now! now! now!", base + " ## ## $$ %% ##"
+    good = [(i, base + f" {i}", 1) for i in range(6000)]
+    good += [(6000 + i, loud + f" {i}", 1) for i in range(24)] + [(6100 + i, odd + f" {i}", 1) for i in range(24)]
+    bad = [(7000 + i, loud + f" b{i}", 0) for i in range(300)] + [(8000 + i, odd + f" b{i}", 0) for i in range(200)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t, _ in good + bad], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in good + bad], "doc_id long, quality int")
+    rows = cut(quality_rules.measure(docs, "q"), "rules")
+    both = {r.rule for r in quality_rules.cutoffs(rows, labels, "q", "lang").collect()}
+    assert both == {"bangs"}  # 24 and 24 of 6,048 are one rule's risk each
+    monkeypatch.setattr(quality_rules, "ALPHA", 0.02)
+    assert {r.rule for r in quality_rules.cutoffs(rows, labels, "q", "lang").collect()} >= {"bangs", "symbols"}
+
+
+@pytest.mark.parametrize("inline", [4096, 0])
+def test_quality_cutoffs_in_force_match_the_sql(spark, monkeypatch, inline):
+    """On a table with enough labels for cutoffs, as an expression and as a join."""
+    import duckdb
+    monkeypatch.setattr(quality_rules, "INLINE_CUTOFFS", inline)
+    docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = cut(quality_rules.measure(docs, "q").select("doc_id", "lang", "q"), "rules")
+    con = duckdb.connect()
+    con.execute("SET memory_limit = '4GB'")
+    con.register("measured", rows.select("doc_id", "lang", "q.*").toArrow())
+    con.register("labels", labels.toArrow())
+    want = con.execute(f"SELECT doc_id, base_failed, kept FROM ({quality_rules._oracle('m AS (FROM measured)')})").fetchall()
+    out = quality_rules.judge(rows, labels, "q", "kept")
+    assert sorted((r.doc_id, r.failed, r.kept) for r in out.select("doc_id", quality_rules.base_failed(F.col("q")).alias("failed"), "kept").collect()) == sorted(want)
+    assert sum(not kept and not failed for _, failed, kept in want) > 100  # cutoffs are in force
+
+
 # --- op2
 
 def test_token_frames(spark, docs, rows):
