@@ -464,52 +464,55 @@ def test_licences_of_random_trees(spark, seed):
 
 # --- op8
 
-def test_lm_score(spark, docs, rows):
-    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(None, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
-    train = {r.code: (r.target_n, r.background_n) for r in lm_score.train(docs, labels).collect()}
-    like = Counter()
-    for i, t, *_ in rows:
-        if i is not None and i < 40 and i % 2:
-            raw = b"\0\0" + (t or "").encode()
-            like.update(int.from_bytes(raw[k : k + 3]) for k in range(len(raw) - 2))
-    assert {c: n for c, (n, _) in train.items() if n} == dict(like)
-    out = {r.doc_id: r for r in lm_score.score(docs, labels).collect()}
-    w = lm_score.WEIGHT
-
-    def loss(counts, text):
-        one, two, ctx1, ctx2, total = Counter(), Counter(), Counter(), Counter(), 0
-        for c, n in counts.items():
-            a, b, x = c >> 16, c >> 8 & 255, c & 255
-            one[x] += n
-            two[b, x] += n
-            ctx1[b] += n
-            ctx2[a, b] += n
-            total += n
-        raw, s = b"\0\0" + text.encode(), 0.0
-        for a, b, x in zip(raw, raw[1:], raw[2:]):
-            p = (one[x] + 1) / (total + 256)
-            p = (two[b, x] + w * p) / (ctx1[b] + w)
-            s -= np.log((counts.get(a << 16 | b << 8 | x, 0) + w * p) / (ctx2[a, b] + w))
-        return s / (len(raw) - 2)
-
-    text = next(t for i, t, *_ in rows if i == 7)
-    assert out[7].target_loss == pytest.approx(loss({c: n for c, (n, _) in train.items()}, text), rel=1e-4)
-    assert out[7].background_loss == pytest.approx(loss({c: n for c, (_, n) in train.items()}, text), rel=1e-4)
-    assert out[next(i for i, t, *_ in rows if t is None)].ce_diff is None
-    assert lm_score.score(no_rows(spark), labels).count() == 0
+def plain_losses(rows, good):
+    """Both models from dictionaries of word tuples, own counts left out."""
+    words = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()) for _, t, *_ in rows]
+    grams = [[[(w,) for w in ws], list(zip([None, *ws], ws))] for ws in words]
+    side = [i in good for i, *_ in rows]
+    sums = [[Counter(), Counter()], [Counter(), Counter()]]  # by side (background first) and order
+    for g, s in zip(grams, side):
+        for o in (0, 1):
+            sums[s][o].update(g[o])
+    total = [sum(len(w) for w, s in zip(words, side) if s == k) for k in (0, 1)]
+    n = min(total)
+    out = []
+    for (i, *_), g, s, ws in zip(rows, grams, side, words):
+        loss = [0.0, 0.0]
+        for o in (0, 1):
+            own, v = Counter(g[o]), len(set(sums[0][o]) | set(sums[1][o]))
+            for k in (0, 1):
+                for x, times in own.items():
+                    c = sums[k][o][x] - (times if s == k else 0)
+                    loss[k] -= times * np.log((c * n / max(1, total[k]) + lm_score.PSEUDO) / (n + lm_score.PSEUDO * v)) / 2
+        out.append((i, len(ws), *(loss[k] / len(ws) if ws else None for k in (1, 0))))
+    return out
 
 
-def test_lm_score_counts_every_document(spark, docs, rows):
-    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 40, 8)], "doc_id long, quality int, toxic int")
-    counted, size = {True: Counter(), False: Counter()}, Counter()
-    for i, t, *_ in rows:
-        role = i is not None and i < 40 and i % 8 == 0
-        counted[role].update(lm_score.codes(t or "").tolist())
-        size[role] += len((t or "").encode())
-    train = lm_score.train(docs, labels).collect()
-    scale = size[True] / size[False]
-    assert scale < 0.5 and {r.code: r.target_n for r in train if r.target_n} == dict(counted[True])
-    assert {r.code: round(r.background_n / scale, 6) for r in train if r.background_n} == dict(counted[False])
+@pytest.mark.parametrize("few", [True, False])
+def test_lm_score(spark, docs, rows, monkeypatch, few):
+    """Against dictionaries: with all n-grams in buckets or most of them hot, small
+    batches, and labels broadcast or joined."""
+    monkeypatch.setattr(lm_score, "HOT", 3 if few else 1 << 17)
+    monkeypatch.setattr(lm_score, "BATCH_TOKENS", 700)
+    monkeypatch.setattr(lm_score, "BROADCAST_LABELS", 0 if few else 10**6)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(None, 1, 1), (2, 1, 0), (5, 1, 1)], "doc_id long, quality int, toxic int")
+    good = {i for i in range(40) if i % 2 and i != 5}  # 5 is toxic in one label, 2 has a bad one
+    every = [*rows, (999, "rare " * 600 + "often " * 300, "en", "s", 1), (998, "often " * 600, None, None, None)]
+    table = spark.createDataFrame(every, DOCS).repartition(3).withColumns({"target": F.lit(1), "row": F.lit("x"), "text_": F.lit(None)})
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] or 0.0, r[3] or 0.0)
+    got = sorted(((r.doc_id, r.n_tokens, r.target_loss, r.background_loss) for r in lm_score.score(table, labels).collect()), key=key)
+    want = sorted(plain_losses(every, good), key=key)
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g[:2] == w[:2] and (g[2:] == w[2:] if not w[1] else g[2:] == pytest.approx(w[2:], rel=1e-9))
+
+
+def test_lm_score_edges(spark, docs, rows):
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert lm_score.score(no_rows(spark), labels).count() == 0
+    out = lm_score.score(docs, labels.limit(0)).collect()  # no target: both models are uniform
+    assert len(out) == len(rows) and {r.ce_diff for r in out if r.n_tokens} == {0.0}
+    assert all(r.target_loss is None and r.ce_diff is None for r in out if not r.n_tokens)
 
 
 def test_lm_score_tells_held_out_quality(spark):
