@@ -46,8 +46,9 @@ SEEK_MAGIC, SKIP_MAGIC, DIRECTORY_MAGIC = 0x8F92EAB1, 0x184D2A5E, 0x184D2A50
 NULL_ID = -(1 << 63)
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
-#: Units kept in a worker's memo; at this many it starts anew.
-_MEMO = 1_500_000
+#: Units kept in a worker's memos, with their ids and with the number of ids alone; at this
+#: many a memo starts anew.
+_MEMO, _COUNT_MEMO = 1_500_000, 1_000_000
 #: Characters whose units are held at once.
 _AT_ONCE = 1 << 20
 _UNSAFE = re.compile(r" \s| $")
@@ -68,11 +69,13 @@ class Encoder:
         names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
         self.opens = [n is not None and n.startswith("\u0120") for n in names]  # the byte-level name of a space
         self.memo: dict[str, bytes] = {}
+        self.counts: dict[str, int] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, units: list[str]) -> None:
+    def _learn(self, units: list[str], counts: bool) -> None:
+        memo = self.counts if counts else self.memo
         plain = [u for u in units if " " not in u]
         rows = [plain[i : i + 64] for i in range(0, len(plain), 64)]
         for row, e in zip(rows, self.tokenizer.encode_batch_fast([" " + " ".join(r) for r in rows], add_special_tokens=False), strict=True):
@@ -80,15 +83,16 @@ class Encoder:
             at = [i for i, x in enumerate(ids) if opens[x]]
             raw = array("I", ids).tobytes()
             for u, i, j in zip(row, at, [*at[1:], len(ids)], strict=True):
-                self.memo[u] = raw[4 * i : 4 * j]
+                memo[u] = j - i if counts else raw[4 * i : 4 * j]
         odd = [u for u in units if " " in u]
-        self.memo.update(zip(odd, self._ids([" " + u for u in odd]), strict=True))
+        ids = self._ids([" " + u for u in odd])
+        memo.update(zip(odd, (len(x) // 4 for x in ids) if counts else ids, strict=True))
 
-    def _units(self, texts: list[str]) -> list[tuple[bytes, list[str]]]:
+    def _units(self, texts: list[str], counts: bool = False) -> list[tuple[bytes, list[str]]]:
         """The ids of each text's first unit, and the other units, which the memo has."""
-        if len(self.memo) > _MEMO:
-            self.memo.clear()
-        memo = self.memo
+        memo = self.counts if counts else self.memo
+        if len(memo) > (_COUNT_MEMO if counts else _MEMO):
+            memo.clear()
         rows = [None if any(s in t for s in self.specials) else _CUT.split(t) if _UNSAFE.search(t) else t.split(" ") for t in texts]
         heads = list({r[0] for r in rows if r and r[0]})
         head = dict(zip(heads, self._ids(heads), strict=True))
@@ -96,7 +100,7 @@ class Encoder:
         for r in rows:
             if r:
                 del r[0]
-        self._learn([u for u in set(chain.from_iterable(r or () for r in rows)) if u not in memo])
+        self._learn([u for u in set(chain.from_iterable(r or () for r in rows)) if u not in memo], counts)
         return [(f, r or []) for f, r in zip(first, rows, strict=True)]
 
     @staticmethod
@@ -120,8 +124,8 @@ class Encoder:
     def count_each(self, texts: list[str]) -> Iterator[int]:
         """The number of ids of each text."""
         for portion in self._portions(texts):
-            for first, rest in self._units(portion):
-                yield (len(first) + sum(map(len, map(self.memo.__getitem__, rest)))) // 4
+            for first, rest in self._units(portion, counts=True):
+                yield len(first) // 4 + sum(map(self.counts.__getitem__, rest))
 
     def encode(self, text: str) -> bytes:
         return next(self.encode_each([text]))

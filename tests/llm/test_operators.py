@@ -184,6 +184,7 @@ def test_encoders_equal_their_libraries(seed):
     for _ in range(3000):
         s = "".join(rnd.choice(stock) for _ in range(rnd.randint(0, 14))) * rnd.choice([1, 1, 1, 30])
         assert own.encode(s) == np.array(t.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+        assert list(own.count_each([s, "", s])) == [len(own.encode(s)) // 4, 0, len(own.encode(s)) // 4]
         ids = c.encode(s)
         assert ids == plain.encode_ordinary(s) and c.decode(ids) == s.encode()
 
