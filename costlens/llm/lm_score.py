@@ -39,8 +39,8 @@ from costlens.llm.common import cut, text_of
 PSEUDO = 0.1
 #: N-grams scored by broadcast, and how many a batch may propose.
 HOT, PROPOSED = 1 << 17, 1 << 13
-BATCH_TOKENS, BATCH_DOCS = 400_000, 1 << 15
-BUCKET_BYTES, LEAST_BUCKETS = 16 << 20, 64
+BATCH_TOKENS, BATCH_DOCS = 200_000, 1 << 15
+BUCKET_BYTES, LEAST_BUCKETS = 4 << 20, 64
 BROADCAST_LABELS = 4_000_000
 ORDERS = 2
 
