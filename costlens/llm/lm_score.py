@@ -37,10 +37,11 @@ from pyspark.sql import functions as F
 from costlens.llm.common import cut, text_of
 
 PSEUDO = 0.1
-#: N-grams scored by broadcast, and how many a batch may propose.
+#: N-grams scored by broadcast, and how many a batch may propose. A bucket of 8 MB of text
+#: takes about 150 MB of a worker; a document has at most one partial loss per bucket and n-gram.
 HOT, PROPOSED = 1 << 17, 1 << 13
 BATCH_TOKENS, BATCH_DOCS = 200_000, 1 << 15
-BUCKET_BYTES, LEAST_BUCKETS = 4 << 20, 64
+BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 64
 BROADCAST_LABELS = 4_000_000
 ORDERS = 2
 
