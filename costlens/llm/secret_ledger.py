@@ -27,7 +27,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlens.llm.common import fresh, new_folder, text_of
+from costlens.llm.common import arrow_rows, fresh, new_folder, text_of
 
 #: Fixed order of kinds; the first three are the base rules. Raise a version when a pattern changes.
 RULES = (("assign", 1), ("access", 1), ("hex", 1), ("pem", 1), ("jwt", 1))
@@ -40,6 +40,9 @@ _PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----.*?-----END \1-----", re
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
 _KEY_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
+#: Texts that a task hands to its worker at once.
+BATCH_ROWS = 256
+
 LEDGER = "blob binary, kind string, version int, starts array<int>, ends array<int>"
 
 
@@ -66,11 +69,13 @@ def _scan(batches):
     seen = set()  # repeated rows of one document meet in one task
     for b in batches:
         out: list[list] = [[], [], [], [], []]
-        for blob, text, due in zip(b["blob"].to_pylist(), b["text"].to_pylist(), b["due"].to_pylist(), strict=True):
+        for blob, text, due in zip(b["blob"], b["text"], b["due"], strict=True):
+            blob = blob.as_py()
             if blob in seen:
                 continue
             seen.add(blob)
-            for rule in due:
+            text = text.as_py()
+            for rule in due.as_py():
                 found = spans(text, rule["kind"])
                 for column, value in zip(out, (blob, rule["kind"], rule["version"], [s for s, _ in found], [e for _, e in found]), strict=True):
                     column.append(value)
@@ -104,7 +109,8 @@ def update(docs: DataFrame, ledger: str, rules=RULES) -> DataFrame:
     due = due.select(F.col("blob").alias("due_blob"), F.col("doc_id").alias("due_id"), "due")
     todo = rows.join(due.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(due["due_id"]) & (rows["blob"] == due["due_blob"]))
     found = todo.select("blob", "text", "due").mapInArrow(_scan, LEDGER)
-    found.write.parquet(f"{ledger}/batch-{uuid.uuid4().hex}")
+    with arrow_rows(spark, BATCH_ROWS):
+        found.write.parquet(f"{ledger}/batch-{uuid.uuid4().hex}")
     current = " OR ".join(f"(kind = '{k}' AND version = {v})" for k, v in rules)
     return _read(spark, ledger).filter(current)
 

@@ -146,6 +146,15 @@ def test_quality_cutoffs_in_force_match_the_sql(spark, monkeypatch, inline):
 
 # --- op2
 
+def test_units_of_texts_with_blanks_in_a_row():
+    texts = ["", " ", "  ", " a", " a ", "a  b", " \n x", "a\u00a0 b", "a \u00a0b", "<|endoftext|> a b", "a b \n", "\n a  \n\n b", " \x1c a", "a\x1cb \x85c d", "\ta b", "a b c"]
+    t, own = Tokenizer.from_file(token_frames.VOCABULARY), token_frames.Encoder(token_frames.VOCABULARY)
+    want = [np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    for _ in range(2):  # with an empty memo, and with one that has the units
+        assert list(own.encode_each(texts)) == want and list(own.count_each(texts)) == [len(x) // 4 for x in want]
+    assert not any(not u or u[0].isspace() for u in own.memo)
+
+
 def test_token_frames(spark, docs, rows):
     t = Tokenizer.from_file(token_frames.VOCABULARY)
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
@@ -611,6 +620,19 @@ def test_secret_spans_of_the_whole_small_table(spark):
         assert [s for s in r.spans.split(",") if s and s.split(":")[0] in secret_ledger.BASE] == [f"{k}:{a}:{b}" for a, _, k, b in plain_secrets(text[r.doc_id])]
 
 
+def test_scan_hands_few_texts_to_a_worker_at_once(spark, monkeypatch):
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b"x"]), pa.array(["assign"]), pa.array([b.num_rows], pa.int32()), pa.array([[]], pa.list_(pa.int32())), pa.array([[]], pa.list_(pa.int32()))], names=["blob", "kind", "version", "starts", "ends"])
+
+    monkeypatch.setattr(secret_ledger, "_scan", sizes)
+    name, n = "spark.sql.execution.arrow.maxRecordsPerBatch", 3 * secret_ledger.BATCH_ROWS
+    before, ledger = spark.conf.get(name), new_folder(spark, "ledger")
+    secret_ledger.update(spark.range(0, n, 1, 1).selectExpr("id AS doc_id", "CAST(id AS STRING) AS text"), ledger)
+    seen = [r.version for r in spark.read.parquet(f"{ledger}/batch-*").collect()]
+    assert sum(seen) == n and max(seen) <= secret_ledger.BATCH_ROWS and spark.conf.get(name) == before
+
+
 def test_ledger_scans_only_unseen_pairs(spark, docs):
     ledger = new_folder(spark, "ledger")
     blobs = docs.select("text").fillna("", "text").distinct().count()
