@@ -51,7 +51,6 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 _MEMO, _COUNT_MEMO = 1_500_000, 1_000_000
 #: Characters whose units are held at once.
 _AT_ONCE = 1 << 20
-_UNSAFE = re.compile(r" \s| $")
 _CUT = re.compile(r" (?=\S)")
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -93,15 +92,19 @@ class Encoder:
         memo = self.counts if counts else self.memo
         if len(memo) > (_COUNT_MEMO if counts else _MEMO):
             memo.clear()
-        rows = [None if any(s in t for s in self.specials) else _CUT.split(t) if _UNSAFE.search(t) else t.split(" ") for t in texts]
-        heads = list({r[0] for r in rows if r and r[0]})
+        rows = [None if any(s in t for s in self.specials) else t.split(" ") for t in texts]
+        first = [r and r.pop(0) for r in rows]
+        new = set(chain.from_iterable(r or () for r in rows)).difference(memo)
+        # a space before a blank or at the end is no cut; the memo never has such a unit
+        if unsafe := {u for u in new if not u or u[0].isspace()}:
+            rows = [r if r is None or unsafe.isdisjoint(r) else _CUT.split(t)[1:] for t, r in zip(texts, rows, strict=True)]
+            first = [r if r is None else t[: len(t) - sum(map(len, r)) - len(r)] for t, r in zip(texts, rows, strict=True)]
+            new = set(chain.from_iterable(r or () for r in rows)).difference(memo)
+        self._learn(list(new), counts)
+        heads = list({f for f in first if f})
         head = dict(zip(heads, self._ids(heads), strict=True))
-        first = [self._ids([t])[0] if r is None else head.get(r[0], b"") for t, r in zip(texts, rows, strict=True)]
-        for r in rows:
-            if r:
-                del r[0]
-        self._learn([u for u in set(chain.from_iterable(r or () for r in rows)) if u not in memo], counts)
-        return [(f, r or []) for f, r in zip(first, rows, strict=True)]
+        whole = iter(self._ids([t for t, r in zip(texts, rows, strict=True) if r is None]))
+        return [(next(whole), []) if r is None else (head.get(f, b""), r) for f, r in zip(first, rows, strict=True)]
 
     @staticmethod
     def _portions(texts: list[str]) -> Iterator[list[str]]:
