@@ -7,6 +7,7 @@ import os
 from costlens.functions.exprs import AsOf
 from costlens.plans.pipeline import Pipeline
 from costlens.session import checkpoint_root
+from costlens.sources import telemetry
 from costlens.sources.seeds import test_config as config
 
 ROWS = [("'Q' || CAST(id AS STRING)", "query_id"), ("CASE id % 3 WHEN 0 THEN 'SELECT * FROM t' WHEN 1 THEN NULL ELSE 'call x' END", "query_text"),
@@ -41,3 +42,32 @@ def test_test_data_pipelines_write_their_history(spark):
 
     scans = _plan(E.queries()["query_cost_attribution"](spark, E.SF_SMOKE))
     assert "o_orderkey" not in scans and "query_text" in scans
+
+
+ORDERS = [("id", "o_orderkey"), ("id % 7", "o_custkey"), ("'O'", "o_orderstatus"), ("id * 1000.0D", "o_totalprice")]
+
+
+def test_history_of_a_file_of_one_row_group_is_written_in_parts(spark, tmp_path):
+    import __spark_entry__ as E
+
+    for table in telemetry.INPUT_TABLES:
+        rows = spark.read.parquet(f"{E.SF_SMOKE}/{table}.parquet").limit(0)
+        if table == "orders":
+            rows = spark.range(0, 2000, 1, 1).unionByName(spark.range(0, 3, 1, 1)).selectExpr(*[f"{e} AS {c}" for e, c in ORDERS])
+        rows.coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
+    before = _written(spark)
+    history = Pipeline.from_testdata(spark, str(tmp_path)).source("query_history")
+    (folder,) = _written(spark) - before
+    assert len(glob.glob(f"{folder}/*.parquet")) > 1
+    assert history.count() == 2003 and history.select("query_id").distinct().count() == 2000
+
+
+def test_history_with_costs_is_not_written_again(spark):
+    raw = {"query_history": spark.range(60).selectExpr(
+        *[f"{e} AS {c}" for e, c in ROWS], *[f"CAST(id AS BIGINT) AS {c}" for c in ("rows_produced", "bytes_scanned", "bytes_spilled_to_remote_storage")])}
+    p = Pipeline(spark, raw, AsOf(), config(), derived=("query_history",))
+    (spills,) = p.published("ap_spill")
+    assert spills.dtypes == p["ap_spill"].dtypes and sorted(map(repr, spills.collect())) == sorted(map(repr, p["ap_spill"].collect()))
+    root = checkpoint_root(spark)
+    assert "ap_spill" in p._run().materialize and "query_history_costed" not in p._run().materialize
+    assert not glob.glob(os.path.join(root, "models", "query_history_costed-*"))
