@@ -34,6 +34,8 @@ from costlens.llm.common import cut, fresh, text_of, without_blanks
 FAN = 8
 #: Digests that one merge task should end with.
 SLOT_ROWS = 100_000
+#: Rows that a task gathers before it folds them, if it holds no more digests than that.
+FOLD_ROWS = 200_000
 
 RUN = "slot int, run int, digest binary, n_chars long, doc_id long, row long, n_rows long, n_bytes long, proof long"
 _NULL_ID = np.iinfo(np.int64).max
@@ -72,7 +74,8 @@ def merge(t: pa.Table) -> pa.Table:
         if (np.minimum.reduceat(values, at) != np.maximum.reduceat(values, at)).any():
             raise ValueError("two different texts share a SHA-256 digest")
     best = t.take(pa.array(at))
-    return best.set_column(best.schema.get_field_index("n_rows"), "n_rows", pa.array(np.add.reduceat(t["n_rows"].to_numpy(), at)))
+    i = best.schema.get_field_index("n_rows")  # the field stays as it is: batches meet only in one schema
+    return best.set_column(i, best.schema.field(i), pa.array(np.add.reduceat(t["n_rows"].to_numpy(), at)))
 
 
 def fold(t: pa.Table) -> pa.Table:
@@ -85,11 +88,12 @@ def fold(t: pa.Table) -> pa.Table:
 
 def _local_runs(slot_bits: int):
     def run(batches):
-        held, small = [], []
+        held, small, n = [], [], 0
         for b in batches:
             small.append(b)
-            if sum(x.num_rows for x in small) >= 200_000:
-                held, small = [fold(pa.Table.from_batches([*held, *small]).combine_chunks()).to_batches()[0]], []
+            n += b.num_rows
+            if n >= max(FOLD_ROWS, sum(x.num_rows for x in held)):
+                held, small, n = fold(pa.Table.from_batches([*held, *small]).combine_chunks()).to_batches(), [], 0
         got = [x for x in (*held, *small) if x.num_rows]
         if got:
             out = fold(pa.Table.from_batches(got).combine_chunks())

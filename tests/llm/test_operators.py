@@ -368,6 +368,16 @@ def test_exact_dedup_merges_many_runs(spark, monkeypatch):
     assert all(r.keep_id == int(r.doc_id) % 700 and r.group_size == len(range(int(r.doc_id) % 700, 3000, 700)) for r in out) and len(out) == 3000
 
 
+def test_exact_dedup_folds_large_partitions(spark):
+    """One task gets more rows than it gathers before a fold, twice over, and digests of before meet those after."""
+    n, keys = 2 * exact_dedup.FOLD_ROWS + 50_000, exact_dedup.FOLD_ROWS + 100_000
+    data = spark.range(0, n, 1, 1).selectExpr("id AS doc_id", f"concat('t', id % {keys}) AS text")
+    right = (F.col("keep_id") == F.col("doc_id") % keys) & (F.col("kept") == (F.col("doc_id") < keys)) & (F.col("group_size") == F.when(F.col("keep_id") < n - keys, 2).otherwise(1))
+    out = exact_dedup.assign(data).agg(F.count(F.lit(1)), F.count_if(right)).first()
+    assert tuple(out) == (n, n)
+    assert exact_dedup.drop_copies(data).count() == keys
+
+
 # --- op7
 
 def test_licences(spark):
