@@ -127,6 +127,21 @@ def test_quality_rules_share_one_risk(spark, monkeypatch):
     assert {r.rule for r in quality_rules.cutoffs(rows, labels, "q", "lang").collect()} >= {"bangs", "symbols"}
 
 
+def test_quality_texts_without_words_beside_cutoffs(spark):
+    """One rule is in force in two strata; texts without words have no ratio."""
+    base = "other text that goes on and on with many more words up to twenty five of them in all so there"
+    texts = [(i, base + f" {i}", 1) for i in range(1500)] + [(2000 + i, base + f" now! now! now! {i}", 0) for i in range(60)]
+    data = [(10_000 * k + i, t, lang) for k, lang in enumerate(("en", "de")) for i, t, _ in texts]
+    labels = spark.createDataFrame([(10_000 * k + i, q) for k in range(2) for i, _, q in texts], "doc_id long, quality int")
+    blank = [(50_000, "", "en"), (50_001, None, "de"), (50_002, " \n\t", "en"), (50_003, "", None)]
+    docs = spark.createDataFrame(data + blank, "doc_id long, text string, lang string").repartition(2)
+    want = {i for i, t, _ in data if "!" not in t}
+    judged = quality_rules.assign(docs, labels).collect()
+    assert len(judged) == len(data) + len(blank) and {r.doc_id for r in judged if r.kept} == want
+    assert all(r.base_failed and r.n_words == 0 for r in judged if r.doc_id >= 50_000)
+    assert {r.doc_id for r in quality_rules.keep(docs, labels).collect()} == want
+
+
 @pytest.mark.parametrize("inline", [4096, 0])
 def test_quality_cutoffs_in_force_match_the_sql(spark, monkeypatch, inline):
     """On a table with enough labels for cutoffs, as an expression and as a join."""
